@@ -40,14 +40,19 @@ def unescape(col: Column) -> Column:
 
 
 def plain_text(html: Column) -> Column:
-    """Tags dropped, references resolved, outer blanks stripped; '' becomes NULL."""
-    return F.nullif(F.regexp_replace(unescape(F.regexp_replace(html, r"<[^>]*>", "")), r"^\s+|\s+$", ""), F.lit(""))
+    """Tags dropped, references resolved, outer blanks stripped."""
+    return F.regexp_replace(unescape(F.regexp_replace(html, r"<[^>]*>", "")), r"^\s+|\s+$", "")
 
 
 def first_of(card: Column, regexes: Sequence[str], as_text: bool = True) -> Column:
-    """The first regex that yields something; the value is its second group."""
-    values = [F.nullif(F.regexp_extract(card, r, 2), F.lit("")) for r in regexes]
-    return F.coalesce(*[plain_text(v) if as_text else unescape(v) for v in values])
+    """The first regex whose second group is not empty.
+
+    With nothing found: '' when the last regex does match (the element is there but empty), else NULL. That extra
+    look at the card only happens for fields without a value.
+    """
+    values = [F.regexp_extract(card, r, 2) for r in regexes]
+    filled = [F.nullif(plain_text(v) if as_text else unescape(v), F.lit("")) for v in values]
+    return F.coalesce(*filled, F.when(card.rlike(regexes[-1]), F.lit("")))
 
 
 @dataclass(frozen=True)

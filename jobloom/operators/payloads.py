@@ -347,7 +347,7 @@ def philjobnet_cards(html: Column) -> Column:
 
 def jobstreet_cards(html: Column) -> Column:
     def one(card: Column) -> Column:
-        job_id = F.coalesce(card["job_id"], job_path_id(card["href"]))
+        job_id = F.coalesce(_filled(card["job_id"]), job_path_id(card["href"]))
         return _posting(
             source_id=F.concat(F.lit("jobstreet_"), job_id),
             title=card["title"],
@@ -372,7 +372,7 @@ def onlinejobs_cards(html: Column) -> Column:
             card["heading"], rf"(?s){tag_with_class('badge', 'span')}.*?</span>", ""
         )
         title = F.regexp_replace(F.regexp_replace(title, r"<[^>]*>", ""), r"^\s+|\s+$", "")
-        complete = card["heading"].isNotNull() & card["href"].isNotNull()
+        complete = card["heading"].isNotNull() & card["href"].isNotNull()  # an empty heading is a heading
         return _posting(
             source_id=F.when(complete, number_or_hash_id(card["href"], "onlinejobs_")),
             title=title,
@@ -389,7 +389,7 @@ def onlinejobs_cards(html: Column) -> Column:
 
 def indeed_cards(html: Column) -> Column:
     def one(card: Column) -> Column:
-        key = card["job_key"]
+        key = _filled(card["job_key"])
         return _posting(
             source_id=F.concat(F.lit("indeed_"), key),
             title=card["title"],
@@ -398,7 +398,7 @@ def indeed_cards(html: Column) -> Column:
             salary_raw=card["salary_raw"],
             employment_type=unless_equal(card["employment_type"], card["salary_raw"]),
             posted_date=card["posted_date"],
-            url=F.coalesce(absolute(card["href"], INDEED), F.concat(F.lit(f"{INDEED}/viewjob?jk="), key)),
+            url=F.coalesce(absolute(_filled(card["href"]), INDEED), F.concat(F.lit(f"{INDEED}/viewjob?jk="), key)),
         )
 
     return _with_id(F.transform(card_fields(html, INDEED_CARDS), one))
@@ -447,8 +447,8 @@ def dedup_run(
     Two partial aggregations and joins on small sides: first page per id, new ids per page, stop page per run.
     """
     run = list(run)
-    value = [c for c in postings.columns if c not in (*run, key)]
-    first = postings.groupBy(*run, key).agg(F.min_by(F.struct(*value), page).alias("_first"))
+    value = [page, *[c for c in postings.columns if c not in (*run, key, page)]]
+    first = postings.groupBy(*run, key).agg(F.min(F.struct(*value)).alias("_first"))
     firsts = first.select(*run, key, "_first.*")
     pages = postings.select(*run, page).distinct()
     fresh = firsts.select(*run, page).distinct().withColumn("_fresh", F.lit(True))

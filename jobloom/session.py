@@ -17,6 +17,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("JOBLOOM_DRIVER_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
