@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobloom import schemas
-from jobloom.session import prepare
+from jobloom.session import prepare, scratch_path
 from jobloom.plans.warehouse import Marts, build_warehouse
 from jobloom.sources.adapter import posting_fields, raw_postings
 
@@ -38,14 +40,30 @@ DOCUMENT_TERMS = (
 )
 
 _marts: dict[tuple[str, str], Marts] = {}
+_landed: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _once(label: str, spark: SparkSession, sf_dir: str, build: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
+    """Land an input table once per application; queries then read files, as they would from landed data."""
+    key = (spark.sparkContext.applicationId, sf_dir, label)
+    if key not in _landed:
+        path = scratch_path(prepare(spark), label)
+        built = build(spark, sf_dir)
+        built.repartition(spark.sparkContext.defaultParallelism).write.partitionBy("source").parquet(path)
+        _landed[key] = spark.read.schema(built.schema).parquet(path).select(*built.columns)
+    return _landed[key]
+
+
+def landed(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: _once(build.__name__, spark, sf_dir, build)
+
+
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_postings(prepare(spark), sf_dir)
+    return _once("raw", spark, sf_dir, raw_postings)
 
 
 def fields(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,6 +111,7 @@ def _with_more(obj: Column, extra: Column) -> Column:
     return F.concat(F.regexp_replace(F.to_json(obj), r"\}$", ""), F.lit(","), extra, F.lit("}"))
 
 
+@landed
 def api_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _numbered(spark, sf_dir)
     r = F.col("raw_id")
@@ -147,6 +166,7 @@ def _state_payload(body: Column, page: Column) -> Column:
     )
 
 
+@landed
 def state_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _joined(_numbered(spark, sf_dir), _state_item(), ",")
     return pages.select(F.lit("state").alias("source"), "page_no", _state_payload(F.col("body"), F.col("page_no")).alias("payload"))
@@ -160,6 +180,7 @@ def _cache_item() -> Column:
     return F.concat(F.lit('"'), prefix, r, F.lit('":'), F.to_json(job))
 
 
+@landed
 def entity_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _joined(_numbered(spark, sf_dir), _cache_item(), ",")
     body = F.concat(F.lit('{"ROOT_QUERY":{"x":1},"Job:text":"no object",'), "body", F.lit("}"))
@@ -195,6 +216,7 @@ def _ssr_payload(body: Column, page: Column) -> Column:
     return F.concat(F.lit('{"props":{"pageProps":'), props, F.lit("}}"))
 
 
+@landed
 def ssr_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _joined(_numbered(spark, sf_dir), _ssr_item(), ",")
     return pages.select(F.lit("ssr").alias("source"), "page_no", _ssr_payload(F.col("body"), F.col("page_no")).alias("payload"))
@@ -228,6 +250,7 @@ def _philjobnet_item() -> Column:
     )
 
 
+@landed
 def philjobnet_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _page(_joined(_numbered(spark, sf_dir), _philjobnet_item(), "\n"), "philjobnet")
 
@@ -253,6 +276,7 @@ def _jobstreet_item() -> Column:
     )
 
 
+@landed
 def jobstreet_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _page(_joined(_numbered(spark, sf_dir), _jobstreet_item(), "\n"), "jobstreet")
 
@@ -276,6 +300,7 @@ def _onlinejobs_item() -> Column:
     )
 
 
+@landed
 def onlinejobs_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _page(_joined(_numbered(spark, sf_dir), _onlinejobs_item(), "\n"), "onlinejobs")
 
@@ -309,10 +334,12 @@ def _indeed_item() -> Column:
     return F.concat(start, heading, company, place, pay, kind, day, F.when(p % 2 == 0, "</div>").otherwise("</li>"))
 
 
+@landed
 def indeed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _page(_joined(_numbered(spark, sf_dir), _indeed_item(), "\n"), "indeed")
 
 
+@landed
 def strategy_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages where different strategies work: state, entity cache, props, or cards only."""
     rows = _numbered(spark, sf_dir)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from catalog import fixtures as fx
 from jobloom.functions import display, salary
-from jobloom.functions.html import CardLayout, card_fields
+from jobloom.functions.html import CardLayout, card_fields, cards
 from jobloom.operators import dims, facts, payloads, quality, search, skills, staging, unify
 from jobloom.plans import analytics
 from jobloom.plans.warehouse import build_warehouse, spine
@@ -474,7 +474,8 @@ NAV_LINKS = CardLayout(
 @query("page_links")
 def _(spark, sf):
     """The link cards of every page, with ids derived from their targets."""
-    links = fx.table(spark, sf, "pages").select("page_id", F.inline(card_fields(F.col("html"), NAV_LINKS)))
+    items = fx.table(spark, sf, "pages").select("page_id", F.explode_outer(cards(F.col("html"), NAV_LINKS)).alias("card"))
+    links = items.where("card is not null").select("page_id", card_fields(F.col("card"), NAV_LINKS).alias("link")).select("page_id", "link.*")
     return links.select("page_id", "label", "href", payloads.number_or_hash_id(F.col("href"), "link_").alias("link_id"))
 
 

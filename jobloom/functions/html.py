@@ -83,12 +83,8 @@ def cards(html: Column, layout: CardLayout) -> Column:
     return F.coalesce(*[F.when(F.size(f) > 0, f) for f in found], F.array().cast("array<string>"))
 
 
-def card_fields(html: Column, layout: CardLayout) -> Column:
-    """array<struct> with one string per field of the layout."""
-
-    def fields(card: Column) -> Column:
-        texts = [first_of(card, rules).alias(n) for n, rules in layout.texts.items()]
-        attributes = [first_of(card, rules, as_text=False).alias(n) for n, rules in layout.attributes.items()]
-        return F.struct(*texts, *attributes)
-
-    return F.transform(cards(html, layout), fields)
+def card_fields(card: Column, layout: CardLayout) -> Column:
+    """struct with one string per field of the layout."""
+    texts = [first_of(card, rules).alias(n) for n, rules in layout.texts.items()]
+    attributes = [first_of(card, rules, as_text=False).alias(n) for n, rules in layout.attributes.items()]
+    return F.struct(*texts, *attributes)

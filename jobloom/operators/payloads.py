@@ -1,12 +1,13 @@
 """Landed payloads to posting rows.
 
-Each layout is a function from a payload column to array<posting struct>, so a page's strategies can be tried inside
-its row and `flatten` only explodes; nothing is shuffled.
+A layout says how to find a payload's items and how an item becomes a posting. Both are column expressions, so
+flattening is an explode and a projection, and nothing is shuffled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from jobloom.functions.html import (
     CardLayout,
     attribute_of,
     card_fields,
+    cards,
     tag_with_attribute,
     tag_with_class,
     text_of,
@@ -73,10 +75,6 @@ def _filled(text: Column) -> Column:
     return F.when(~text.isin("", "0", "0.0", "false"), text)
 
 
-def _with_id(postings: Column) -> Column:
-    return F.filter(postings, lambda p: p["source_id"].isNotNull())
-
-
 def _first_filled(arrays: Sequence[Column]) -> Column:
     return F.coalesce(*[F.when(F.size(a) > 0, a) for a in arrays])
 
@@ -88,40 +86,40 @@ def _is_object(node: Column) -> Column:
 # --- JSON layouts ---------------------------------------------------------------------------------------------------
 
 
-def api_jobs(payload: Column) -> Column:
-    """API answer {jobs: [...]} with nested company, place and function objects."""
+def api_items(payload: Column) -> Column:
+    return _items(F.try_parse_json(payload), "jobs")
 
-    def one(job: Column) -> Column:
-        job_id = _filled(_text(job, "id"))
-        code = _filled(_text(job, "company_info.code"))
-        place = "google_location.address_components"
-        low, high = _filled(_text(job, "salary_from")), _filled(_text(job, "salary_to"))
-        money = F.coalesce(_filled(_text(job, "salary_currency")), F.lit("PHP"))
-        unknown = F.lit("?")
-        functions = F.filter(F.coalesce(_items(job, "function"), F.array().cast("array<variant>")), _is_object)
-        names = F.filter(F.transform(functions, lambda f: _filled(_text(f, "name"))), lambda n: n.isNotNull())
-        return _posting(
-            source_id=F.concat(F.lit("kalibrr_"), job_id),
-            title=_text(job, "name"),
-            company=_text(job, "company_info.name"),
-            location=F.coalesce(_filled(_text(job, f"{place}.city")), _text(job, f"{place}.locality")),
-            salary_raw=F.when(
-                F.coalesce(low, high).isNotNull(),
-                F.concat(money, F.lit(" "), F.coalesce(low, unknown), F.lit("-"), F.coalesce(high, unknown)),
-            ),
-            description=_text(job, "description"),
-            employment_type=_text(job, "tenure"),
-            experience_level=_text(job, "work_experience_value"),
-            skills=names,
-            posted_date=_text(job, "activation_date"),
-            url=F.concat(
-                F.lit(KALIBRR),
-                F.coalesce(F.concat(F.lit("/c/"), code, F.lit("/jobs/")), F.lit("/jobs/")),
-                job_id,
-            ),
-        )
-
-    return _with_id(F.transform(_items(F.try_parse_json(payload), "jobs"), one))
+
+def api_posting(job: Column) -> Column:
+    """API answer {jobs: [...]} with nested company, place and function objects."""
+    job_id = _filled(_text(job, "id"))
+    code = _filled(_text(job, "company_info.code"))
+    place = "google_location.address_components"
+    low, high = _filled(_text(job, "salary_from")), _filled(_text(job, "salary_to"))
+    money = F.coalesce(_filled(_text(job, "salary_currency")), F.lit("PHP"))
+    unknown = F.lit("?")
+    functions = F.filter(F.coalesce(_items(job, "function"), F.array().cast("array<variant>")), _is_object)
+    names = F.filter(F.transform(functions, lambda f: _filled(_text(f, "name"))), lambda n: n.isNotNull())
+    return _posting(
+        source_id=F.concat(F.lit("kalibrr_"), job_id),
+        title=_text(job, "name"),
+        company=_text(job, "company_info.name"),
+        location=F.coalesce(_filled(_text(job, f"{place}.city")), _text(job, f"{place}.locality")),
+        salary_raw=F.when(
+            F.coalesce(low, high).isNotNull(),
+            F.concat(money, F.lit(" "), F.coalesce(low, unknown), F.lit("-"), F.coalesce(high, unknown)),
+        ),
+        description=_text(job, "description"),
+        employment_type=_text(job, "tenure"),
+        experience_level=_text(job, "work_experience_value"),
+        skills=names,
+        posted_date=_text(job, "activation_date"),
+        url=F.concat(
+            F.lit(KALIBRR),
+            F.coalesce(F.concat(F.lit("/c/"), code, F.lit("/jobs/")), F.lit("/jobs/")),
+            job_id,
+        ),
+    )
 
 
 def _board_posting(job: Column, company: Column, location: Column, employment: Column, job_id: Column) -> Column:
@@ -138,20 +136,23 @@ def _board_posting(job: Column, company: Column, location: Column, employment: C
     )
 
 
-def state_jobs(payload: Column) -> Column:
+def state_items(payload: Column) -> Column:
     """Page state: results.results.jobs, else jobsPage.jobs."""
     node = F.try_parse_json(payload)
+    return _first_filled([_items(node, "results.results.jobs"), _items(node, "jobsPage.jobs")])
 
-    def one(job: Column) -> Column:
-        return _board_posting(
-            job, _text(job, "advertiser.description"), _text(job, "location"), _text(job, "workType"), _filled(_text(job, "id"))
-        )
 
-    jobs = _first_filled([_items(node, "results.results.jobs"), _items(node, "jobsPage.jobs")])
-    return _with_id(F.transform(jobs, one))
+def state_posting(job: Column) -> Column:
+    return _board_posting(
+        job,
+        _text(job, "advertiser.description"),
+        _text(job, "location"),
+        _text(job, "workType"),
+        _filled(_text(job, "id")),
+    )
 
 
-def entity_cache_jobs(payload: Column) -> Column:
+def entity_items(payload: Column) -> Column:
     """Flat cache {entity key: object}; job objects are known by their key's prefix."""
     cache = F.try_variant_get(F.try_parse_json(payload), "$", "map<string,variant>")
 
@@ -161,34 +162,34 @@ def entity_cache_jobs(payload: Column) -> Column:
             prefixed = prefixed | entry["key"].startswith(prefix)
         return prefixed & _is_object(entry["value"])
 
-    def one(entry: Column) -> Column:
-        job = entry["value"]
-        return _board_posting(
-            job,
-            _text(job, "advertiser.name"),
-            _text(job, "location.label"),
-            _text(job, "workTypes[0]"),
-            F.coalesce(_filled(_text(job, "id")), _filled(_text(job, "jobId"))),
-        )
+    return F.filter(F.map_entries(cache), is_job)
 
-    return _with_id(F.transform(F.filter(F.map_entries(cache), is_job), one))
+
+def entity_posting(entry: Column) -> Column:
+    job = entry["value"]
+    return _board_posting(
+        job,
+        _text(job, "advertiser.name"),
+        _text(job, "location.label"),
+        _text(job, "workTypes[0]"),
+        F.coalesce(_filled(_text(job, "id")), _filled(_text(job, "jobId"))),
+    )
 
 
-def ssr_jobs(payload: Column) -> Column:
+def ssr_items(payload: Column) -> Column:
     """Server-side props: the first non-empty of four paths below props.pageProps."""
     node = F.try_parse_json(payload)
+    return _first_filled([_items(node, f"props.pageProps.{path}") for path in SSR_PATHS])
 
-    def one(job: Column) -> Column:
-        return _board_posting(
-            job,
-            F.coalesce(_filled(_text(job, "advertiser.name")), _text(job, "advertiser.description")),
-            F.coalesce(_filled(_text(job, "locationLabel")), _text(job, "location")),
-            _text(job, "workType"),
-            F.coalesce(_filled(_text(job, "id")), _filled(_text(job, "jobId"))),
-        )
 
-    jobs = _first_filled([_items(node, f"props.pageProps.{path}") for path in SSR_PATHS])
-    return _with_id(F.transform(jobs, one))
+def ssr_posting(job: Column) -> Column:
+    return _board_posting(
+        job,
+        F.coalesce(_filled(_text(job, "advertiser.name")), _text(job, "advertiser.description")),
+        F.coalesce(_filled(_text(job, "locationLabel")), _text(job, "location")),
+        _text(job, "workType"),
+        F.coalesce(_filled(_text(job, "id")), _filled(_text(job, "jobId"))),
+    )
 
 
 # --- source ids and field cleanup -----------------------------------------------------------------------------------
@@ -327,100 +328,107 @@ INDEED_CARDS = CardLayout(
 )
 
 
-def philjobnet_cards(html: Column) -> Column:
-    def one(card: Column) -> Column:
-        number = trailing_number(card["href"])
-        return _posting(
-            source_id=F.concat(F.lit("philjobnet_"), number),
-            title=card["title"],
-            company=card["company"],
-            location=card["location"],
-            salary_raw=card["salary_raw"],
-            employment_type=card["employment_type"],
-            education_level=card["education_level"],
-            posted_date=card["posted_date"],
-            url=F.concat(F.lit(PHILJOBNET), card["href"]),
-        )
-
-    return _with_id(F.transform(card_fields(html, PHILJOBNET_CARDS), one))
-
-
-def jobstreet_cards(html: Column) -> Column:
-    def one(card: Column) -> Column:
-        job_id = F.coalesce(_filled(card["job_id"]), job_path_id(card["href"]))
-        return _posting(
-            source_id=F.concat(F.lit("jobstreet_"), job_id),
-            title=card["title"],
-            company=card["company"],
-            location=card["location"],
-            salary_raw=card["salary_raw"],
-            description=card["description"],
-            classification=card["classification"],
-            sub_classification=card["sub_classification"],
-            posted_date=card["posted_date"],
-            url=F.concat(F.lit(f"{JOBSTREET}/job/"), job_id),
-        )
-
-    return _with_id(F.transform(card_fields(html, JOBSTREET_CARDS), one))
-
-
-def onlinejobs_cards(html: Column) -> Column:
+def philjobnet_posting(card: Column) -> Column:
+    return _posting(
+        source_id=F.concat(F.lit("philjobnet_"), trailing_number(card["href"])),
+        title=card["title"],
+        company=card["company"],
+        location=card["location"],
+        salary_raw=card["salary_raw"],
+        employment_type=card["employment_type"],
+        education_level=card["education_level"],
+        posted_date=card["posted_date"],
+        url=F.concat(F.lit(PHILJOBNET), card["href"]),
+    )
+
+
+def jobstreet_posting(card: Column) -> Column:
+    job_id = F.coalesce(_filled(card["job_id"]), job_path_id(card["href"]))
+    return _posting(
+        source_id=F.concat(F.lit("jobstreet_"), job_id),
+        title=card["title"],
+        company=card["company"],
+        location=card["location"],
+        salary_raw=card["salary_raw"],
+        description=card["description"],
+        classification=card["classification"],
+        sub_classification=card["sub_classification"],
+        posted_date=card["posted_date"],
+        url=F.concat(F.lit(f"{JOBSTREET}/job/"), job_id),
+    )
+
+
+def onlinejobs_posting(card: Column) -> Column:
     """The badge inside the heading is the employment type and is no part of the title."""
+    title = F.regexp_replace(card["heading"], rf"(?s){tag_with_class('badge', 'span')}.*?</span>", "")
+    complete = card["heading"].isNotNull() & card["href"].isNotNull()  # an empty heading is a heading
+    return _posting(
+        source_id=F.when(complete, number_or_hash_id(card["href"], "onlinejobs_")),
+        title=F.regexp_replace(F.regexp_replace(title, r"<[^>]*>", ""), r"^\s+|\s+$", ""),
+        salary_raw=not_available_to_null(card["salary_raw"]),
+        salary_currency=F.lit("USD"),
+        employment_type=card["badge"],
+        is_remote=F.lit(True),
+        posted_date=card["posted_date"],
+        url=absolute(card["href"], ONLINEJOBS),
+    )
 
-    def one(card: Column) -> Column:
-        title = F.regexp_replace(
-            card["heading"], rf"(?s){tag_with_class('badge', 'span')}.*?</span>", ""
-        )
-        title = F.regexp_replace(F.regexp_replace(title, r"<[^>]*>", ""), r"^\s+|\s+$", "")
-        complete = card["heading"].isNotNull() & card["href"].isNotNull()  # an empty heading is a heading
-        return _posting(
-            source_id=F.when(complete, number_or_hash_id(card["href"], "onlinejobs_")),
-            title=title,
-            salary_raw=not_available_to_null(card["salary_raw"]),
-            salary_currency=F.lit("USD"),
-            employment_type=card["badge"],
-            is_remote=F.lit(True),
-            posted_date=card["posted_date"],
-            url=absolute(card["href"], ONLINEJOBS),
-        )
-
-    return _with_id(F.transform(card_fields(html, ONLINEJOBS_CARDS), one))
-
-
-def indeed_cards(html: Column) -> Column:
-    def one(card: Column) -> Column:
-        key = _filled(card["job_key"])
-        return _posting(
-            source_id=F.concat(F.lit("indeed_"), key),
-            title=card["title"],
-            company=card["company"],
-            location=card["location"],
-            salary_raw=card["salary_raw"],
-            employment_type=unless_equal(card["employment_type"], card["salary_raw"]),
-            posted_date=card["posted_date"],
-            url=F.coalesce(absolute(_filled(card["href"]), INDEED), F.concat(F.lit(f"{INDEED}/viewjob?jk="), key)),
-        )
-
-    return _with_id(F.transform(card_fields(html, INDEED_CARDS), one))
+
+def indeed_posting(card: Column) -> Column:
+    key = _filled(card["job_key"])
+    return _posting(
+        source_id=F.concat(F.lit("indeed_"), key),
+        title=card["title"],
+        company=card["company"],
+        location=card["location"],
+        salary_raw=card["salary_raw"],
+        employment_type=unless_equal(card["employment_type"], card["salary_raw"]),
+        posted_date=card["posted_date"],
+        url=F.coalesce(absolute(_filled(card["href"]), INDEED), F.concat(F.lit(f"{INDEED}/viewjob?jk="), key)),
+    )
 
 
 # --- operators over payload tables ----------------------------------------------------------------------------------
 
-LAYOUTS: dict[str, Callable[[Column], Column]] = {
-    "api": api_jobs,
-    "state": state_jobs,
-    "entity_cache": entity_cache_jobs,
-    "ssr": ssr_jobs,
-    "philjobnet_html": philjobnet_cards,
-    "jobstreet_html": jobstreet_cards,
-    "onlinejobs_html": onlinejobs_cards,
-    "indeed_html": indeed_cards,
+
+@dataclass(frozen=True)
+class Layout:
+    """items: payload -> array; posting: item -> posting struct; html: the card layout, when items are cards."""
+
+    items: Callable[[Column], Column]
+    posting: Callable[[Column], Column]
+    html: CardLayout | None = None
+
+    def parts(self, item: Column) -> Column:
+        return card_fields(item, self.html) if self.html else item
+
+
+def _cards(layout: CardLayout, posting: Callable[[Column], Column]) -> Layout:
+    return Layout(lambda html: cards(html, layout), posting, layout)
+
+
+LAYOUTS = {
+    "api": Layout(api_items, api_posting),
+    "state": Layout(state_items, state_posting),
+    "entity_cache": Layout(entity_items, entity_posting),
+    "ssr": Layout(ssr_items, ssr_posting),
+    "philjobnet_html": _cards(PHILJOBNET_CARDS, philjobnet_posting),
+    "jobstreet_html": _cards(JOBSTREET_CARDS, jobstreet_posting),
+    "onlinejobs_html": _cards(ONLINEJOBS_CARDS, onlinejobs_posting),
+    "indeed_html": _cards(INDEED_CARDS, indeed_posting),
 }
 
 
 def flatten(payloads: DataFrame, layout: str, keys: Sequence[str] = ("source", "page_no")) -> DataFrame:
-    """One row per posting of every payload."""
-    return payloads.select(*keys, F.inline(LAYOUTS[layout](F.col("payload"))))
+    """One row per posting of every payload; items without an id are dropped.
+
+    The outer explode keeps Spark from inferring a size filter that would take every payload apart twice.
+    """
+    spec = LAYOUTS[layout]
+    items = payloads.select(*keys, F.explode_outer(spec.items(F.col("payload"))).alias("_item"))
+    parts = items.where("_item is not null").select(*keys, spec.parts(F.col("_item")).alias("_parts"))
+    rows = parts.select(*keys, spec.posting(F.col("_parts")).alias("_posting")).select(*keys, "_posting.*")
+    return rows.where("source_id is not null")
 
 
 def first_strategy(
@@ -428,15 +436,20 @@ def first_strategy(
 ) -> DataFrame:
     """Per page, the postings of the first strategy that yields any.
 
-    strategies: (payload column, layout) in order of trust. All are tried inside the page's row; later ones are only
-    evaluated where the earlier ones came out empty.
+    strategies: (payload column, layout) in order of trust. All are tried inside the page's row, in steps: a later
+    one is only evaluated where the earlier ones came out empty.
     """
-    chosen, jobs = F.lit(None).cast("string"), None
-    for column, layout in reversed(strategies):
-        found = LAYOUTS[layout](F.col(column))
-        jobs = found if jobs is None else F.when(F.size(found) > 0, found).otherwise(jobs)
-    picked = pages.select(*keys, jobs.alias("_jobs"))
-    return picked.select(*keys, F.inline("_jobs"))
+
+    def postings(column: str, layout: str) -> Column:
+        spec = LAYOUTS[layout]
+        parts = F.transform(spec.items(F.col(column)), spec.parts) if spec.html else spec.items(F.col(column))
+        return F.filter(F.transform(parts, spec.posting), lambda p: p["source_id"].isNotNull())
+
+    step = pages
+    for place, (column, layout) in enumerate(strategies):
+        found = postings(column, layout)
+        step = step.withColumn("_jobs", F.when(F.size("_jobs") > 0, F.col("_jobs")).otherwise(found) if place else found)
+    return step.select(*keys, F.inline_outer("_jobs")).where("source_id is not null")
 
 
 def dedup_run(

@@ -158,7 +158,9 @@ def match_terms(
         terms,
         boundary,
     )
-    pairs = paired.select(*id_cols, *carry, F.explode("_pairs").alias("_pair")).select(
+    # The outer form keeps Spark from inferring a size filter that would run the whole matching a second time.
+    exploded = paired.select(*id_cols, *carry, F.explode_outer("_pairs").alias("_pair")).where("_pair is not null")
+    pairs = exploded.select(
         *id_cols, *carry, F.col("_pair.name").alias("skill_name"), F.col("_pair.category").alias("skill_category")
     )
     return pairs if unique_ids else pairs.dropDuplicates([*id_cols, "skill_name", "skill_category"])
@@ -191,7 +193,7 @@ def _joined(df, id_cols, text_cols, array_cols, dictionary, boundary, carry) ->
 
     rows = df.select(*id_cols, *carry, *[c for c in [*text_cols, *array_cols] if c not in {*id_cols, *carry}])
     body = [F.col(c) for c in text_cols] + [F.array_join(c, "\n") for c in array_cols]
-    tokens = rows.select("*", F.explode(tokens_of(body)).alias("anchor"))
+    tokens = rows.select("*", F.explode_outer(tokens_of(body)).alias("anchor"))
     front, back = whole_word("\u0000", boundary).split("\u0000")
     regex = F.concat(F.lit(front), F.col("pattern"), F.lit(back))
     found = F.col("pattern").rlike(r"^\w+$")
@@ -203,9 +205,8 @@ def _joined(df, id_cols, text_cols, array_cols, dictionary, boundary, carry) ->
     pairs = tokens.join(anchored, "anchor").where(found).select(*out)
     if rest:
         extra = matched_pairs(rows, [F.col(c) for c in text_cols], [F.col(c) for c in array_cols], rest, boundary)
-        pairs = pairs.unionByName(
-            extra.select(*id_cols, *carry, F.inline("_pairs").alias("skill_name", "skill_category"))
-        )
+        extra = extra.select(*id_cols, *carry, F.inline_outer("_pairs").alias("skill_name", "skill_category"))
+        pairs = pairs.unionByName(extra.where("skill_name is not null"))
     return pairs.dropDuplicates([*id_cols, "skill_name", "skill_category"])
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -41,8 +42,8 @@ IDS = ("raw_id", "source", "source_id", "scraped_at")
 _JSON_KEY = {"location_raw": "location", "skills_json": "skills"}
 
 
-def _cleaned(name: str, blob: Column) -> Column:
-    text = blob[_JSON_KEY.get(name, name)]
+def _cleaned(name: str) -> Column:
+    text = F.col(f"_{name}")
     if name in ("employment_type", "experience_level", "education_level"):
         return fold(text)
     if name == "salary_currency":
@@ -56,18 +57,22 @@ def _cleaned(name: str, blob: Column) -> Column:
     return F.trim(text)
 
 
-def _parsed(raw: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """One JSON parse per row, for the wanted keys only; a string field that holds an array keeps its JSON text."""
-    fields = [T.StructField(_JSON_KEY.get(c, c), T.StringType()) for c in columns]
-    blob = F.from_json("raw_data", T.StructType(fields)).alias("blob")
-    return raw.select(*IDS, blob).where(F.col("blob.title").isNotNull())
+def _parsed(raw: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The wanted keys of each blob as text, from one pass over its JSON.
+
+    json_tuple is a generator, so the title filter stays above it instead of being pushed down as a second parse;
+    an array comes out as its JSON text.
+    """
+    keys = [_JSON_KEY.get(c, c) for c in columns]
+    fields = F.json_tuple("raw_data", *keys).alias(*[f"_{c}" for c in columns])
+    return raw.select(*IDS, fields).where(F.col("_title").isNotNull())
 
 
 def stage(raw: DataFrame, source: str) -> DataFrame:
     """Staging projection of one source; the source predicate reaches the scan before any JSON is read."""
     columns = SPECS[source].columns
     picked = _parsed(raw.where(F.col("source") == source), columns)
-    return picked.select(*IDS, *[_cleaned(c, F.col("blob")).alias(c) for c in columns])
+    return picked.select(*IDS, *[_cleaned(c).alias(c) for c in columns])
 
 
 def stage_all(raw: DataFrame) -> DataFrame:
@@ -76,11 +81,11 @@ def stage_all(raw: DataFrame) -> DataFrame:
     The same rows as the union of `stage` over all sources; a column is NULL where its source does not fill it.
     """
     wanted = [f.name for f in CANONICAL.fields if f.name not in IDS]
-    picked = _parsed(raw.where(F.col("source").isin(*SPECS)), tuple(wanted))
+    picked = _parsed(raw.where(F.col("source").isin(*SPECS)), wanted)
 
     def column(field: T.StructField) -> Column:
         givers = [s.source for s in SPECS.values() if field.name in s.columns]
-        value = _cleaned(field.name, F.col("blob"))
+        value = _cleaned(field.name)
         if len(givers) < len(SPECS):
             value = F.when(F.col("source").isin(*givers), value)
         return value.cast(field.dataType).alias(field.name)

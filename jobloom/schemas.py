@@ -41,28 +41,6 @@ REGIONS = T.StructType(
     ]
 )
 
-# Every key any source may put in its JSON blob; one from_json reads them all.
-POSTING_JSON = T.StructType(
-    [
-        T.StructField(name, T.StringType())
-        for name in (
-            "title",
-            "company",
-            "location",
-            "salary_raw",
-            "salary_currency",
-            "url",
-            "posted_date",
-            "description",
-            "employment_type",
-            "experience_level",
-            "education_level",
-            "is_remote",
-            "skills",
-        )
-    ]
-)
-
 CANONICAL = T.StructType(
     [
         T.StructField("raw_id", T.LongType()),
