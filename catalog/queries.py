@@ -201,7 +201,7 @@ def _(spark, sf):
     path = scratch_path(spark, "snapshots")
     layers.append_snapshot(m.fct_skill_demand.where("snapshot_date < date'2028-01-01'"), path)
     layers.append_snapshot(m.fct_skill_demand.where("snapshot_date >= date'2027-06-01'"), path)
-    stored = spark.read.schema(m.fct_skill_demand.schema).parquet(path)
+    stored = layers.read_snapshots(spark, path, m.fct_skill_demand)
     return stored.groupBy(F.date_format("snapshot_date", "yyyy-MM").alias("month")).agg(
         F.count("*").alias("rows"), F.sum("posting_count").alias("postings")
     )

@@ -36,11 +36,11 @@ def left_join_dimension(
 
     total = wanted.agg(F.sum("_weight").alias("_total"))
     marked = wanted.join(F.broadcast(total)).withColumn("_hot", F.col("_weight") * HOT_FRACTION > F.col("_total"))
-    hot = marked.where("_hot").select(F.col("_dim_key").alias("_hot_key"), *[F.col(n).alias(f"_hot_{n}") for n in take.values()])
+    hot = marked.where("_hot").select(F.col("_dim_key").alias("_hot_dim_key"), *[F.col(n).alias(f"_hot_{n}") for n in take.values()])
     cold = marked.where("not _hot").select("_dim_key", *take.values())
-    step = keyed.join(F.broadcast(hot), F.col("_key") == F.col("_hot_key"), "left")
+    step = keyed.join(F.broadcast(hot), F.col("_key") == F.col("_hot_dim_key"), "left")
     # A filler starts with NUL, which no trimmed name does, so it meets no dimension row.
     filler = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64("raw_id"), F.lit(NULL_SPREAD)).cast("string"))
-    step = step.withColumn("_cold_key", F.when(F.col("_hot_key").isNull() & F.col("_key").isNotNull(), F.col("_key")).otherwise(filler))
+    step = step.withColumn("_cold_key", F.when(F.col("_hot_dim_key").isNull() & F.col("_key").isNotNull(), F.col("_key")).otherwise(filler))
     joined = step.join(cold, F.col("_cold_key") == F.col("_dim_key"), "left")
     return joined.select(*fact.columns, *[F.coalesce(F.col(f"_hot_{n}"), F.col(n)).alias(n) for n in take.values()])

@@ -193,16 +193,22 @@ def _joined(df, id_cols, text_cols, array_cols, dictionary, boundary, carry) ->
 
     rows = df.select(*id_cols, *carry, *[c for c in [*text_cols, *array_cols] if c not in {*id_cols, *carry}])
     body = [F.col(c) for c in text_cols] + [F.array_join(c, "\n") for c in array_cols]
-    tokens = rows.select("*", F.explode_outer(tokens_of(body)).alias("anchor"))
+    # Only ids travel with the tokens; the texts would be copied once per token.
+    tokens = rows.select(*id_cols, *carry, F.explode_outer(tokens_of(body)).alias("anchor"))
+    words = F.col("pattern").rlike(r"^\w+$")
+    out = [*id_cols, *carry, "skill_name", "skill_category"]
+    pairs = tokens.join(anchored.where(words).drop("pattern"), "anchor").select(*out)
+
+    # Phrases: the candidates of a row meet its text again, by id, and are checked there.
     front, back = whole_word("\u0000", boundary).split("\u0000")
     regex = F.concat(F.lit(front), F.col("pattern"), F.lit(back))
-    found = F.col("pattern").rlike(r"^\w+$")
+    found = F.lit(False)
     for c in text_cols:
         found = found | F.coalesce(F.rlike(F.col(c), regex), F.lit(False))
     for c in array_cols:
         found = found | F.coalesce(F.exists(c, lambda e: F.rlike(e, regex)), F.lit(False))
-    out = [*id_cols, *carry, "skill_name", "skill_category"]
-    pairs = tokens.join(anchored, "anchor").where(found).select(*out)
+    candidates = tokens.drop(*carry).join(anchored.where(~words), "anchor").drop("anchor")
+    pairs = pairs.unionByName(candidates.join(rows, list(id_cols)).where(found).select(*out))
     if rest:
         extra = matched_pairs(rows, [F.col(c) for c in text_cols], [F.col(c) for c in array_cols], rest, boundary)
         extra = extra.select(*id_cols, *carry, F.inline_outer("_pairs").alias("skill_name", "skill_category"))

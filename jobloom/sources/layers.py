@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobloom import schemas
+from jobloom.session import cut
 
 # Which folder each layer's tables live in, and how the layer is materialised.
 LAYER_SCHEMAS = {"staging": "staging", "marts": "warehouse"}
@@ -37,20 +38,41 @@ def materialize(df: DataFrame, layer: str, name: str, root: str | None = None) -
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def append_snapshot(demand: DataFrame, path: str) -> None:
     """Write the days of `demand` and leave all other days as they are.
 
-    A day that is written again replaces itself, so a retried run adds nothing twice.
+    A day has few rows, so files are laid out by month; only the months of `demand` are rewritten, with their other
+    days kept. A day that is written again replaces itself, so a retried run adds nothing twice.
     """
+    spark = demand.sparkSession
+    month = F.date_format("snapshot_date", "yyyy-MM").alias("snapshot_month")
+    batch = demand.select("*", month)
+    if _exists(spark, path):
+        stored = read_snapshots(spark, path, batch)
+        touched = [r[0] for r in batch.select("snapshot_month").distinct().collect()]  # one value per month
+        kept = stored.where(F.col("snapshot_month").isin(touched)).join(
+            batch.select("snapshot_date").distinct(), "snapshot_date", "left_anti"
+        )
+        batch = cut(batch.unionByName(kept), "snapshot")  # the months read here are overwritten below
     (
-        demand.repartition("snapshot_date")
+        batch.repartition("snapshot_month")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("snapshot_date")
+        .partitionBy("snapshot_month")
         .parquet(path)
     )
 
 
+def read_snapshots(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """All stored days; `like` gives the columns."""
+    return spark.read.schema(like.schema).parquet(path).select(*like.columns)
+
+
 def run_log_rows(runs: DataFrame) -> DataFrame:
     """Shape run records like the log; error text is cut to its stored length."""
     shaped = runs.withColumn("error_message", F.substring("error_message", 1, ERROR_TEXT_LENGTH)).withColumn(
