@@ -67,7 +67,7 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return posting_fields(prepare(spark), sf_dir)
+    return _once("fields", spark, sf_dir, posting_fields)
 
 
 def marts(spark: SparkSession, sf_dir: str) -> Marts:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from catalog import fixtures as fx
 from jobloom.functions import display, salary
-from jobloom.functions.html import CardLayout, card_fields, cards
+from jobloom.functions.html import CardLayout, Opening, Rule, cards, with_fields
 from jobloom.operators import dims, facts, payloads, quality, search, skills, staging, unify
 from jobloom.plans import analytics
 from jobloom.plans.warehouse import build_warehouse, spine
@@ -464,10 +464,10 @@ def _(spark, sf):
 
 
 NAV_LINKS = CardLayout(
-    starts=[r"<li><a\b"],
+    starts=[Opening("li", r"><a\b", "<li><a")],
     end="</li>",
-    texts={"label": [r"(?s)<(a)\b[^>]*>(.*?)</a>"]},
-    attributes={"href": [r"<(a)\b[^>]*?\shref=[\"']([^\"']*)[\"']"]},
+    texts={"label": [Rule(r"(?s)<(a)\b[^>]*>(.*?)</a>", "<a")]},
+    attributes={"href": [Rule(r"<(a)\b[^>]*?\shref=[\"']([^\"']*)[\"']", "href")]},
 )
 
 
@@ -475,7 +475,7 @@ NAV_LINKS = CardLayout(
 def _(spark, sf):
     """The link cards of every page, with ids derived from their targets."""
     items = fx.table(spark, sf, "pages").select("page_id", F.explode_outer(cards(F.col("html"), NAV_LINKS)).alias("card"))
-    links = items.where("card is not null").select("page_id", card_fields(F.col("card"), NAV_LINKS).alias("link")).select("page_id", "link.*")
+    links = with_fields(items.where("card is not null"), "card", NAV_LINKS, ["page_id"])
     return links.select("page_id", "label", "href", payloads.number_or_hash_id(F.col("href"), "link_").alias("link_id"))
 
 

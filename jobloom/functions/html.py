@@ -5,32 +5,53 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Character references that occur in text; the ampersand comes last.
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&"))
 
 
-def tag_with_class(name: str, tag: str = r"\w+", part: bool = False) -> str:
-    """Regex of an opening tag that has class `name` (part=True: a class attribute that contains it)."""
+@dataclass(frozen=True)
+class Opening:
+    """An opening tag: its name, the regex of the rest, and plain text that every match contains."""
+
+    tag: str
+    rest: str
+    hint: str
+
+    @property
+    def regex(self) -> str:
+        return f"<{self.tag}{self.rest}"
+
+
+@dataclass(frozen=True)
+class Rule:
+    """A regex whose second group is the value; cards without the hint are not searched at all."""
+
+    regex: str
+    hint: str
+
+
+def tag_with_class(name: str, tag: str = r"\w+", part: bool = False) -> Opening:
+    """An opening tag that has class `name` (part=True: a class attribute that contains it)."""
     word = name if part else rf"(?<![\w-]){name}(?![\w-])"
-    return rf"<{tag}\b[^>]*\bclass=[\"'][^\"']*{word}[^\"']*[\"'][^>]*>"
+    return Opening(tag, rf"\b[^>]*?\bclass=[\"'][^\"']*?{word}[^\"']*[\"'][^>]*>", name)
 
 
-def tag_with_attribute(attribute: str, value: str | None = None, tag: str = r"\w+") -> str:
+def tag_with_attribute(attribute: str, value: str | None = None, tag: str = r"\w+") -> Opening:
     wanted = rf"=[\"']{value}[\"']" if value is not None else r"=[\"'][^\"']*[\"']"
-    return rf"<{tag}\b[^>]*\s{attribute}{wanted}[^>]*>"
+    return Opening(tag, rf"\b[^>]*?\s{attribute}{wanted}[^>]*>", value or attribute)
 
 
-def text_of(opening: str) -> str:
-    """Regex whose last group is the inner HTML of the element that `opening` starts."""
-    return rf"(?s)(?=<(\w+)){opening}(.*?)</\1>"
+def text_of(opening: Opening) -> Rule:
+    """The inner HTML of the element that `opening` starts."""
+    return Rule(rf"(?s)<({opening.tag}){opening.rest}(.*?)</\1>", opening.hint)
 
 
-def attribute_of(opening: str, attribute: str) -> str:
-    """Regex whose last group is an attribute's value in the tag that `opening` matches."""
-    return rf"(?s)(?={opening})<(\w+)\b[^>]*?\s{attribute}=[\"']([^\"']*)[\"']"
+def attribute_of(opening: Opening, attribute: str) -> Rule:
+    """An attribute's value in the tag that `opening` matches."""
+    return Rule(rf"(?s)(?={opening.regex})<(\w+)\b[^>]*?\s{attribute}=[\"']([^\"']*)[\"']", opening.hint)
 
 
 def unescape(col: Column) -> Column:
@@ -39,44 +60,52 @@ def unescape(col: Column) -> Column:
     return col
 
 
+_BLANKS = " \t\n\r\f\u000b"
+
+
 def plain_text(html: Column) -> Column:
     """Tags dropped, references resolved, outer blanks stripped."""
-    return F.regexp_replace(unescape(F.regexp_replace(html, r"<[^>]*>", "")), r"^\s+|\s+$", "")
+    marked = unescape(F.regexp_replace(html, r"<[^>]*>", ""))
+    return F.btrim(F.when(html.rlike("[<&]"), marked).otherwise(html), F.lit(_BLANKS))
 
 
-def first_of(card: Column, regexes: Sequence[str], as_text: bool = True) -> Column:
-    """The first regex whose second group is not empty.
+def _value(card: Column, rule: Rule, as_text: bool) -> Column:
+    """The cleaned value of one rule; '' when it finds nothing."""
+    value = F.when(card.contains(rule.hint), F.regexp_extract(card, rule.regex, 2)).otherwise("")
+    return plain_text(value) if as_text else unescape(value)
 
-    With nothing found: '' when the last regex does match (the element is there but empty), else NULL. That extra
-    look at the card only happens for fields without a value.
-    """
-    values = [F.regexp_extract(card, r, 2) for r in regexes]
-    filled = [F.nullif(plain_text(v) if as_text else unescape(v), F.lit("")) for v in values]
-    return F.coalesce(*filled, F.when(card.rlike(regexes[-1]), F.lit("")))
+
+def _is_there(card: Column, rule: Rule) -> Column:
+    """'' when the element is there (but empty), else NULL."""
+    return F.when(card.contains(rule.hint) & card.rlike(rule.regex), F.lit(""))
 
 
 @dataclass(frozen=True)
 class CardLayout:
     """Where cards start (fallbacks in order), where one ends, and the regexes of its fields.
 
-    A start is the regex of a card's opening tag, or (container, opening tag) for cards after a container's tag.
+    A start is a card's opening tag, or (container, opening tag) for cards after a container's tag.
     """
 
-    starts: Sequence[str | tuple[str, str]]
-    texts: Mapping[str, Sequence[str]]
-    attributes: Mapping[str, Sequence[str]] = field(default_factory=dict)
+    starts: Sequence[Opening | tuple[Opening, Opening]]
+    texts: Mapping[str, Sequence[Rule]]
+    attributes: Mapping[str, Sequence[Rule]] = field(default_factory=dict)
     end: str | None = None
 
+    @property
+    def rules(self) -> dict[str, Sequence[Rule]]:
+        return {**self.texts, **self.attributes}
+
 
 def cards(html: Column, layout: CardLayout) -> Column:
     """array<string> of card HTML, by the first start rule that finds any."""
 
-    def pieces(start: str | tuple[str, str]) -> Column:
+    def pieces(start: Opening | tuple[Opening, Opening]) -> Column:
         text = html
         if isinstance(start, tuple):
             container, start = start
-            text = F.regexp_extract(html, rf"(?s){container}(.*)$", 1)
-        chunks = F.filter(F.split(text, rf"(?s)(?={start})"), lambda c: c.rlike(rf"(?s)^{start}"))
+            text = F.regexp_extract(html, rf"(?s){container.regex}(.*)$", 1)
+        chunks = F.filter(F.split(text, rf"(?s)(?={start.regex})"), lambda c: c.rlike(rf"(?s)^{start.regex}"))
         return F.transform(chunks, lambda c: F.regexp_extract(c, rf"(?s)^(.*?{layout.end})", 1)) if layout.end else chunks
 
     found = [pieces(s) for s in layout.starts]
@@ -84,7 +113,31 @@ def cards(html: Column, layout: CardLayout) -> Column:
 
 
 def card_fields(card: Column, layout: CardLayout) -> Column:
-    """struct with one string per field of the layout."""
-    texts = [first_of(card, rules).alias(n) for n, rules in layout.texts.items()]
-    attributes = [first_of(card, rules, as_text=False).alias(n) for n, rules in layout.attributes.items()]
-    return F.struct(*texts, *attributes)
+    """struct with one string per field of the layout, for use inside array functions."""
+
+    def chosen(name: str, rules: Sequence[Rule]) -> Column:
+        values = [_value(card, r, name in layout.texts) for r in rules]
+        return F.coalesce(*[F.when(v != "", v) for v in values], _is_there(card, rules[-1])).alias(name)
+
+    return F.struct(*[chosen(n, rules) for n, rules in layout.rules.items()])
+
+
+def with_fields(cards: DataFrame, card: str, layout: CardLayout, keep: Sequence[str]) -> DataFrame:
+    """`keep` and one column per field, for a table of cards.
+
+    Rules are tried in turn, one step each, so that a regex runs at most once per card and a fallback only where
+    the rules before it found nothing.
+    """
+    html = F.col(card)
+    step = cards.select(*keep, card, *[_value(html, rules[0], n in layout.texts).alias(n) for n, rules in layout.rules.items()])
+    for turn in range(1, max(len(rules) for rules in layout.rules.values())):
+        later = {
+            n: F.when(F.col(n) != "", F.col(n)).otherwise(_value(html, rules[turn], n in layout.texts))
+            for n, rules in layout.rules.items()
+            if turn < len(rules)
+        }
+        step = step.withColumns(later)
+    last = [
+        F.when(F.col(n) != "", F.col(n)).otherwise(_is_there(html, rules[-1])).alias(n) for n, rules in layout.rules.items()
+    ]
+    return step.select(*keep, *last)

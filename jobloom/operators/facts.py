@@ -85,13 +85,12 @@ def build_fct_skill_demand(
         categories.setdefault(term.name, set()).add(term.category)
     one_category = all(len(c) == 1 for c in categories.values())
     postings = F.count("*") if one_category else F.count_distinct("raw_id")
-    grouped = (
-        pairs.join(dim_skills.select("skill_key", "skill_name"), "skill_name")
-        .groupBy("snapshot_date", "skill_key", "source")
-        .agg(
-            postings.alias("posting_count"),
-            F.avg("_low").alias("avg_salary_min"),
-            F.avg("_high").alias("avg_salary_max"),
-        )
+    by_name = pairs.groupBy("snapshot_date", "skill_name", "source").agg(
+        postings.alias("posting_count"),
+        F.avg("_low").alias("avg_salary_min"),
+        F.avg("_high").alias("avg_salary_max"),
+    )
+    grouped = by_name.join(dim_skills.select("skill_key", "skill_name"), "skill_name").select(
+        "snapshot_date", "skill_key", "source", "posting_count", "avg_salary_min", "avg_salary_max"
     )
     return dense_key(grouped, ["snapshot_date", "skill_key", "source"], "id")

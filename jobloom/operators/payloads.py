@@ -14,12 +14,15 @@ from pyspark.sql import functions as F
 
 from jobloom.functions.html import (
     CardLayout,
+    Opening,
+    Rule,
     attribute_of,
     card_fields,
     cards,
     tag_with_attribute,
     tag_with_class,
     text_of,
+    with_fields,
 )
 from jobloom.functions.text import first_group
 
@@ -226,17 +229,17 @@ def unless_equal(text: Column, other: Column) -> Column:
 # --- HTML layouts (fixed values: the sites' class and attribute names) ----------------------------------------------
 
 
-def _classed(name: str) -> str:
-    return text_of(tag_with_class(name))
+def _classed(name: str, tag: str = r"\w+", part: bool = False) -> Rule:
+    return text_of(tag_with_class(name, tag, part))
 
 
-def _automation(name: str, tag: str = r"\w+") -> str:
-    return text_of(tag_with_attribute("data-automation", name, tag))
+def _marked(attribute: str, value: str, tag: str = r"\w+") -> Rule:
+    return text_of(tag_with_attribute(attribute, value, tag))
 
 
-def _icon_row(icon: str) -> str:
+def _icon_row(icon: str) -> Rule:
     """Inner HTML of the div around an icon."""
-    return rf"(?s)<(div)\b[^>]*>((?:(?!<div\b|</div>).)*{tag_with_class(icon)}.*?)</div>"
+    return Rule(rf"(?s)<(div)\b[^>]*>((?:(?!<div\b|</div>).)*{tag_with_class(icon).regex}.*?)</div>", icon)
 
 
 PHILJOBNET_CARDS = CardLayout(
@@ -261,29 +264,35 @@ JOBSTREET_CARDS = CardLayout(
         tag_with_attribute("data-card-type", "JobCard"),
     ],
     texts={
-        "title": [_automation("jobTitle", "a")],
-        "company": [_automation("jobCompany", "a")],
-        "location": [_automation("jobLocation")],
-        "salary_raw": [_automation("jobSalary")],
-        "description": [_automation("jobShortDescription")],
-        "classification": [_automation("jobClassification")],
-        "sub_classification": [_automation("jobSubClassification")],
-        "posted_date": [_automation("jobListingDate")],
+        "title": [_marked("data-automation", "jobTitle", "a")],
+        "company": [_marked("data-automation", "jobCompany", "a")],
+        "location": [_marked("data-automation", "jobLocation")],
+        "salary_raw": [_marked("data-automation", "jobSalary")],
+        "description": [_marked("data-automation", "jobShortDescription")],
+        "classification": [_marked("data-automation", "jobClassification")],
+        "sub_classification": [_marked("data-automation", "jobSubClassification")],
+        "posted_date": [_marked("data-automation", "jobListingDate")],
     },
     attributes={
-        "job_id": [r"(?s)^<(\w+)\b[^>]*\sdata-job-id=[\"']([^\"']*)[\"']"],
+        "job_id": [Rule(r"(?s)^<(\w+)\b[^>]*\sdata-job-id=[\"']([^\"']*)[\"']", "data-job-id")],
         "href": [attribute_of(tag_with_attribute("data-automation", "jobTitle", "a"), "href")],
     },
 )
+_HEADING = tag_with_class("fw-700", "h4").regex
+_JOB_TITLE = tag_with_class("jobTitle", "h2").regex
 ONLINEJOBS_CARDS = CardLayout(
     starts=[tag_with_class("jobpost-cat-box", "div")],
     texts={
-        "badge": [rf"(?s){tag_with_class('fw-700', 'h4')}(?:(?!</h4>).)*?<(span)\b[^>]*\bclass=[\"'][^\"']*(?<![\w-])badge(?![\w-])[^\"']*[\"'][^>]*>(.*?)</span>"],
-        "salary_raw": [rf"(?s)<(dl)\b[^>]*\bno-gutters\b[^>]*>.*?{tag_with_class('col', 'dd')}(.*?)</dd>"],
+        "badge": [
+            Rule(rf"(?s){_HEADING}(?:(?!</h4>).)*?<(span){tag_with_class('badge', 'span').rest}(.*?)</span>", "badge")
+        ],
+        "salary_raw": [
+            Rule(rf"(?s)<(dl)\b[^>]*\bno-gutters\b[^>]*>.*?{tag_with_class('col', 'dd').regex}(.*?)</dd>", "no-gutters")
+        ],
     },
     attributes={
-        "heading": [rf"(?s)(?=<(h4)){tag_with_class('fw-700', 'h4')}(.*?)</h4>"],
-        "href": [r"(?s)<(a)\b[^>]*?\shref=[\"']([^\"']*/jobseekers/job/[^\"']*)[\"']"],
+        "heading": [_classed("fw-700", "h4")],
+        "href": [Rule(r"(?s)<(a)\b[^>]*?\shref=[\"']([^\"']*/jobseekers/job/[^\"']*)[\"']", "/jobseekers/job/")],
         "posted_date": [attribute_of(tag_with_attribute("data-temp", tag="p"), "data-temp")],
     },
 )
@@ -291,39 +300,39 @@ INDEED_CARDS = CardLayout(
     starts=[
         tag_with_class("job_seen_beacon", "div"),
         tag_with_attribute("data-testid", "slider_item", "li"),
-        (tag_with_class("jobsearch-ResultsList", part=True), r"<li\b[^>]*>"),
+        (tag_with_class("jobsearch-ResultsList", part=True), Opening("li", r"\b[^>]*>", "<li")),
     ],
     texts={
         "title": [
-            rf"(?s){tag_with_class('jobTitle', 'h2')}\s*<a\b[^>]*>(?:(?!</a>).)*?<(span)\b[^>]*\stitle=[^>]*>(.*?)</span>",
-            rf"(?s){tag_with_class('jobTitle', 'h2')}(?:(?!</h2>).)*?<(a)\b[^>]*>(.*?)</a>",
-            r"(?s)<h[23]\b[^>]*>(?:(?!</h[23]>).)*?<(a)\b[^>]*>(.*?)</a>",
+            Rule(rf"(?s){_JOB_TITLE}\s*<a\b[^>]*>(?:(?!</a>).)*?<(span)\b[^>]*\stitle=[^>]*>(.*?)</span>", "jobTitle"),
+            Rule(rf"(?s){_JOB_TITLE}(?:(?!</h2>).)*?<(a)\b[^>]*>(.*?)</a>", "jobTitle"),
+            Rule(r"(?s)<h[23]\b[^>]*>(?:(?!</h[23]>).)*?<(a)\b[^>]*>(.*?)</a>", "<a"),
         ],
         "company": [
-            text_of(tag_with_attribute("data-testid", "company-name")),
+            _marked("data-testid", "company-name"),
             _classed("companyName"),
-            text_of(tag_with_class("companyName", part=True)),
+            _classed("companyName", part=True),
         ],
         "location": [
-            text_of(tag_with_attribute("data-testid", "text-location")),
+            _marked("data-testid", "text-location"),
             _classed("companyLocation"),
-            text_of(tag_with_class("companyLocation", part=True)),
+            _classed("companyLocation", part=True),
         ],
         "salary_raw": [
             _classed("salary-snippet-container"),
-            text_of(tag_with_attribute("data-testid", "attribute_snippet_testid")),
-            text_of(tag_with_class("salary", part=True)),
+            _marked("data-testid", "attribute_snippet_testid"),
+            _classed("salary", part=True),
         ],
-        "employment_type": [text_of(tag_with_attribute("data-testid", "attribute_snippet_testid"))],
+        "employment_type": [_marked("data-testid", "attribute_snippet_testid")],
         "posted_date": [
-            text_of(tag_with_attribute("data-testid", "myJobsStateDate")),
-            text_of(tag_with_class("date", "span")),
-            text_of(tag_with_class("date", part=True)),
+            _marked("data-testid", "myJobsStateDate"),
+            _classed("date", "span"),
+            _classed("date", part=True),
         ],
     },
     attributes={
-        "job_key": [r"(?s)<(\w+)\b[^>]*\sdata-jk=[\"']([^\"']*)[\"']"],
-        "href": [r"(?s)<h[23]\b[^>]*>(?:(?!</h[23]>).)*?<(a)\b[^>]*\shref=[\"']([^\"']*)[\"']"],
+        "job_key": [Rule(r"(?s)<(\w+)\b[^>]*\sdata-jk=[\"']([^\"']*)[\"']", "data-jk")],
+        "href": [Rule(r"(?s)<h[23]\b[^>]*>(?:(?!</h[23]>).)*?<(a)\b[^>]*\shref=[\"']([^\"']*)[\"']", "href")],
     },
 )
 
@@ -360,7 +369,7 @@ def jobstreet_posting(card: Column) -> Column:
 
 def onlinejobs_posting(card: Column) -> Column:
     """The badge inside the heading is the employment type and is no part of the title."""
-    title = F.regexp_replace(card["heading"], rf"(?s){tag_with_class('badge', 'span')}.*?</span>", "")
+    title = F.regexp_replace(card["heading"], rf"(?s){tag_with_class('badge', 'span').regex}.*?</span>", "")
     complete = card["heading"].isNotNull() & card["href"].isNotNull()  # an empty heading is a heading
     return _posting(
         source_id=F.when(complete, number_or_hash_id(card["href"], "onlinejobs_")),
@@ -393,17 +402,17 @@ def indeed_posting(card: Column) -> Column:
 
 @dataclass(frozen=True)
 class Layout:
-    """items: payload -> array; posting: item -> posting struct; html: the card layout, when items are cards."""
+    """items: payload -> array; posting: item -> posting struct; html: the card layout, when items are cards.
+
+    A card's posting takes its fields by name, from a struct column or from a dict of columns.
+    """
 
     items: Callable[[Column], Column]
-    posting: Callable[[Column], Column]
+    posting: Callable[[Column | dict[str, Column]], Column]
     html: CardLayout | None = None
 
-    def parts(self, item: Column) -> Column:
-        return card_fields(item, self.html) if self.html else item
-
 
-def _cards(layout: CardLayout, posting: Callable[[Column], Column]) -> Layout:
+def _cards(layout: CardLayout, posting: Callable) -> Layout:
     return Layout(lambda html: cards(html, layout), posting, layout)
 
 
@@ -425,9 +434,12 @@ def flatten(payloads: DataFrame, layout: str, keys: Sequence[str] = ("source", "
     The outer explode keeps Spark from inferring a size filter that would take every payload apart twice.
     """
     spec = LAYOUTS[layout]
-    items = payloads.select(*keys, F.explode_outer(spec.items(F.col("payload"))).alias("_item"))
-    parts = items.where("_item is not null").select(*keys, spec.parts(F.col("_item")).alias("_parts"))
-    rows = parts.select(*keys, spec.posting(F.col("_parts")).alias("_posting")).select(*keys, "_posting.*")
+    items = payloads.select(*keys, F.explode_outer(spec.items(F.col("payload"))).alias("_item")).where("_item is not null")
+    item = F.col("_item")
+    if spec.html:
+        items = with_fields(items, "_item", spec.html, keys)
+        item = {name: F.col(name) for name in spec.html.rules}
+    rows = items.select(*keys, spec.posting(item).alias("_posting")).select(*keys, "_posting.*")
     return rows.where("source_id is not null")
 
 
@@ -442,7 +454,9 @@ def first_strategy(
 
     def postings(column: str, layout: str) -> Column:
         spec = LAYOUTS[layout]
-        parts = F.transform(spec.items(F.col(column)), spec.parts) if spec.html else spec.items(F.col(column))
+        parts = spec.items(F.col(column))
+        if spec.html:
+            parts = F.transform(parts, lambda card: card_fields(card, spec.html))
         return F.filter(F.transform(parts, spec.posting), lambda p: p["source_id"].isNotNull())
 
     step = pages
