@@ -69,10 +69,9 @@ def plain_text(html: Column) -> Column:
     return F.btrim(F.when(html.rlike("[<&]"), marked).otherwise(html), F.lit(_BLANKS))
 
 
-def _value(card: Column, rule: Rule, as_text: bool) -> Column:
-    """The cleaned value of one rule; '' when it finds nothing."""
-    value = F.when(card.contains(rule.hint), F.regexp_extract(card, rule.regex, 2)).otherwise("")
-    return plain_text(value) if as_text else unescape(value)
+def _inner(card: Column, rule: Rule) -> Column:
+    """What one rule finds, as it stands; '' when it finds nothing."""
+    return F.when(card.contains(rule.hint), F.regexp_extract(card, rule.regex, 2)).otherwise("")
 
 
 def _is_there(card: Column, rule: Rule) -> Column:
@@ -112,11 +111,15 @@ def cards(html: Column, layout: CardLayout) -> Column:
     return F.coalesce(*[F.when(F.size(f) > 0, f) for f in found], F.array().cast("array<string>"))
 
 
+def _clean(value: Column, name: str, layout: CardLayout) -> Column:
+    return plain_text(value) if name in layout.texts else unescape(value)
+
+
 def card_fields(card: Column, layout: CardLayout) -> Column:
     """struct with one string per field of the layout, for use inside array functions."""
 
     def chosen(name: str, rules: Sequence[Rule]) -> Column:
-        values = [_value(card, r, name in layout.texts) for r in rules]
+        values = [_clean(_inner(card, r), name, layout) for r in rules]
         return F.coalesce(*[F.when(v != "", v) for v in values], _is_there(card, rules[-1])).alias(name)
 
     return F.struct(*[chosen(n, rules) for n, rules in layout.rules.items()])
@@ -125,19 +128,16 @@ def card_fields(card: Column, layout: CardLayout) -> Column:
 def with_fields(cards: DataFrame, card: str, layout: CardLayout, keep: Sequence[str]) -> DataFrame:
     """`keep` and one column per field, for a table of cards.
 
-    Rules are tried in turn, one step each, so that a regex runs at most once per card and a fallback only where
-    the rules before it found nothing.
+    Rules are tried in turn, and finding and cleaning are separate steps, so that a regex runs at most once per card
+    and a fallback only where the rules before it found nothing.
     """
-    html = F.col(card)
-    step = cards.select(*keep, card, *[_value(html, rules[0], n in layout.texts).alias(n) for n, rules in layout.rules.items()])
-    for turn in range(1, max(len(rules) for rules in layout.rules.values())):
-        later = {
-            n: F.when(F.col(n) != "", F.col(n)).otherwise(_value(html, rules[turn], n in layout.texts))
-            for n, rules in layout.rules.items()
-            if turn < len(rules)
-        }
-        step = step.withColumns(later)
-    last = [
-        F.when(F.col(n) != "", F.col(n)).otherwise(_is_there(html, rules[-1])).alias(n) for n, rules in layout.rules.items()
-    ]
+    html, names = F.col(card), list(layout.rules)
+    step = cards.select(*keep, card, *[F.lit("").alias(n) for n in names])
+    for turn in range(max(len(rules) for rules in layout.rules.values())):
+        active = {n: rules[turn] for n, rules in layout.rules.items() if turn < len(rules)}
+        found = [F.when(F.col(n) != "", "").otherwise(_inner(html, r)).alias(f"_{n}") for n, r in active.items()]
+        step = step.select(*keep, card, *names, *found)
+        chosen = {n: F.when(F.col(n) != "", F.col(n)).otherwise(_clean(F.col(f"_{n}"), n, layout)) for n in active}
+        step = step.select(*keep, card, *[chosen.get(n, F.col(n)).alias(n) for n in names])
+    last = [F.when(F.col(n) != "", F.col(n)).otherwise(_is_there(html, rules[-1])).alias(n) for n, rules in layout.rules.items()]
     return step.select(*keep, *last)

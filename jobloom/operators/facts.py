@@ -9,7 +9,7 @@ from jobloom.functions.salary import DEFAULT_CURRENCY, to_monthly_php, with_sala
 from jobloom.functions.text import date_key, fold
 from jobloom.operators.joins import left_join_dimension
 from jobloom.operators.positions import dense_key
-from jobloom.operators.skills import load_terms, posting_skills
+from jobloom.operators.skills import posting_skills
 
 
 def build_fct_postings(deduped: DataFrame, companies: DataFrame, locations: DataFrame) -> DataFrame:
@@ -54,12 +54,19 @@ def build_fct_postings(deduped: DataFrame, companies: DataFrame, locations: Data
     )
 
 
+def _one_category_per_name(dictionary: DataFrame) -> bool:
+    """True when matches are distinct by name already, so nothing needs to be made distinct after the join."""
+    several = dictionary.groupBy("canonical_name").agg(F.count_distinct(F.coalesce("category", F.lit(""))).alias("n"))
+    return several.where("n > 1").limit(1).count() == 0
+
+
 def build_job_skills(deduped: DataFrame, dictionary: DataFrame, dim_skills: DataFrame, boundary="strict") -> DataFrame:
     """Bridge: posting key and skill key."""
     pairs = posting_skills(deduped, dictionary, boundary)
-    return pairs.join(dim_skills.select("skill_key", "skill_name"), "skill_name").select(
+    bridge = pairs.join(dim_skills.select("skill_key", "skill_name"), "skill_name").select(
         F.col("raw_id").alias("job_key"), "skill_key"
-    ).distinct()
+    )
+    return bridge if _one_category_per_name(dictionary) else bridge.distinct()
 
 
 def build_fct_skill_demand(
@@ -80,11 +87,7 @@ def build_fct_skill_demand(
         low, high = monthly["min"], monthly["max"]
     priced = with_salary(deduped).withColumns({"_low": low, "_high": high, "snapshot_date": F.to_date("scraped_at")})
     pairs = posting_skills(priced, dictionary, boundary, carry=["snapshot_date", "_low", "_high"])
-    categories: dict[str, set] = {}
-    for term in load_terms(dictionary.select("canonical_name", "category").distinct().withColumn("pattern", F.lit(""))):
-        categories.setdefault(term.name, set()).add(term.category)
-    one_category = all(len(c) == 1 for c in categories.values())
-    postings = F.count("*") if one_category else F.count_distinct("raw_id")
+    postings = F.count("*") if _one_category_per_name(dictionary) else F.count_distinct("raw_id")
     by_name = pairs.groupBy("snapshot_date", "skill_name", "source").agg(
         postings.alias("posting_count"),
         F.avg("_low").alias("avg_salary_min"),

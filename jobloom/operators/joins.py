@@ -34,8 +34,8 @@ def left_join_dimension(
     if estimated_bytes(wanted) <= small_bytes:
         return keyed.join(wanted.drop("_weight"), F.col("_key") == F.col("_dim_key"), "left").drop("_key", "_dim_key")
 
-    total = wanted.agg(F.sum("_weight").alias("_total"))
-    marked = wanted.join(F.broadcast(total)).withColumn("_hot", F.col("_weight") * HOT_FRACTION > F.col("_total"))
+    total = wanted.agg(F.sum("_weight")).scalar()
+    marked = wanted.withColumn("_hot", F.col("_weight") * HOT_FRACTION > total)
     hot = marked.where("_hot").select(F.col("_dim_key").alias("_hot_dim_key"), *[F.col(n).alias(f"_hot_{n}") for n in take.values()])
     cold = marked.where("not _hot").select("_dim_key", *take.values())
     step = keyed.join(F.broadcast(hot), F.col("_key") == F.col("_hot_dim_key"), "left")

@@ -135,12 +135,12 @@ def top_skills(
     """
     rows = demand.where(F.col("source") == source) if source else demand
     if mode == "reference":
-        day = rows.agg(F.max_by("snapshot_date", F.struct("posting_count", "snapshot_date")).alias("_day"))
+        day = F.max_by("snapshot_date", F.struct("posting_count", "snapshot_date"))
     elif mode == "latest":
-        day = rows.agg(F.max("snapshot_date").alias("_day"))
+        day = F.max("snapshot_date")
     else:
         raise ValueError(f"unknown mode: {mode}")
-    snapshot = rows.join(F.broadcast(day), rows.snapshot_date == day._day, "left_semi")  # one row
+    snapshot = rows.where(F.col("snapshot_date") == rows.agg(day).scalar())
     return skill_demand_list(snapshot, skills).orderBy(F.desc("posting_count"), "id").limit(limit)
 
 

@@ -67,9 +67,9 @@ def upsert_raw(current: DataFrame, batch: DataFrame, order: str = "seq") -> Data
     )
     fresh = incoming.join(known.select("source", "source_id"), ["source", "source_id"], "left_anti")
     numbered = dense_key(fresh, ["first_order", "source", "source_id"], "offset_id")
-    top = current.agg(F.coalesce(F.max("raw_id"), F.lit(0)).alias("top_id"))
-    added = numbered.join(F.broadcast(top)).select(
-        (F.col("top_id") + F.col("offset_id")).alias("raw_id"),
+    top = current.agg(F.coalesce(F.max("raw_id"), F.lit(0))).scalar()
+    added = numbered.select(
+        (top + F.col("offset_id")).alias("raw_id"),
         "source",
         "source_id",
         F.col("latest.scraped_at").alias("scraped_at"),
