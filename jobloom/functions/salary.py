@@ -83,8 +83,7 @@ def period(raw: Column) -> Column:
 
 
 def scaled(text: Column, is_k: Column) -> Column:
-    number = text.try_cast(_WORK_AMOUNT)
-    return F.when(is_k, number * 1000).otherwise(number)
+    return text.try_cast(_WORK_AMOUNT) * F.when(is_k, 1000).otherwise(1)
 
 
 def has_money_signal(raw: Column, is_k: Column) -> Column:
