@@ -10,6 +10,7 @@ Segments are rows of a Parquet table in the shared folder, numbered by range par
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -28,7 +29,9 @@ END_ID = 2
 SEGMENT_TOKENS = 1_000_000
 RANK_BITS = 512
 #: Entries after which a worker's memory of encoded pieces starts afresh; it only saves time.
-MEMORY = 300_000
+MEMORY = 200_000
+#: Texts or pieces that the library encodes in one call; its results take far more room than ids.
+AT_ONCE = 200
 
 
 class Level(NamedTuple):
@@ -90,6 +93,7 @@ class Encoder:
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -97,7 +101,8 @@ class Encoder:
         self.known: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        some = (texts[i : i + AT_ONCE] for i in range(0, len(texts), AT_ONCE))
+        return [np.array(e.ids, dtype="<u4").tobytes() for part in some for e in self.tokenizer.encode_batch(part, add_special_tokens=False)]
 
     def _learn(self, pieces: set[str]) -> None:
         """Encode new pieces. Those that are one word each are put into one text, whose words the library tells apart."""
@@ -159,7 +164,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = END_ID, id_col:
             types = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), _LEVELS)
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row.values(), types)], names=list(row))
 
-        for batch in batches:
+        parts = (batch.slice(i, AT_ONCE) for batch in batches for i in range(0, batch.num_rows, AT_ONCE))
+        for batch in parts:
             for doc, coded in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist())):
                 n = len(coded) // 4 + 1
                 if size and size + n > segment_tokens:

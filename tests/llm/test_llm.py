@@ -542,13 +542,13 @@ def test_spans_stay_base_spans(spark):
 # pipeline
 
 
-def test_pipeline_stages(spark, docs, nothing, tmp_path):
+def test_pipeline_stages(spark, docs, rows, nothing, tmp_path):
     rng = random.Random(8)
     sf = str(tmp_path)
     spark.createDataFrame([(i, 1, 0) for i in range(60)], "doc_id long, quality int, toxic int").write.parquet(f"{sf}/labels.parquet")
     item = prose(rng, 20)
     spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
-    leak = [(500, "before " + item + " after", "en", "a", 0, 7, "x", 1, 2), (501, "§$%&/ ##### !!!! ((( ]]] " * 20, "en", "a", 0, 7, "x", 1, 2)]
+    leak = [(500, f"stone {item} river " + rows[0][1], "en", "a", 0, 7, "x", 1, 2), (501, "§$%&/ ##### !!!! ((( ]]] " * 20, "en", "a", 0, 7, "x", 1, 2)]
     all_docs = docs.unionByName(spark.createDataFrame(leak, DOCS)).drop("_slot")
     kept = corpus_pipeline.quality(spark, all_docs, sf)
     ids = Counter(r[0] for r in kept.select("doc_id").collect())
