@@ -11,6 +11,7 @@ Segments are rows of a Parquet table in the shared folder, numbered by range par
 from __future__ import annotations
 
 import os
+import sys
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -29,7 +30,7 @@ END_ID = 2
 SEGMENT_TOKENS = 1_000_000
 RANK_BITS = 512
 #: Entries after which a worker's memory of encoded pieces starts afresh; it only saves time.
-MEMORY = 200_000
+MEMORY = 500_000
 #: Texts or pieces that the library encodes in one call; its results take far more room than ids.
 AT_ONCE = 200
 
@@ -98,30 +99,37 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # A token of a byte-level vocabulary has one character per byte.
+        self.width = np.zeros(self.tokenizer.get_vocab_size(), dtype=np.int64)
+        for token, number in self.tokenizer.get_vocab().items():
+            self.width[number] = len(token)
+        self.signs = dict(zip(".,;:!?", self._encode(list(".,;:!?"))))
         self.known: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         some = (texts[i : i + AT_ONCE] for i in range(0, len(texts), AT_ONCE))
         return [np.array(e.ids, dtype="<u4").tobytes() for part in some for e in self.tokenizer.encode_batch(part, add_special_tokens=False)]
 
-    def _learn(self, pieces: set[str]) -> None:
-        """Encode new pieces. Those that are one word each are put into one text, whose words the library tells apart."""
-        single = [p for p in pieces if p.isalpha()]
-        for i in range(0, len(single), 1000):
-            some = single[i : i + 1000]
-            whole = self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False)
-            ids = np.array(whole.ids, dtype="<u4")
+    def _learn(self, pieces: list[str]) -> None:
+        """Encode new pieces. Words among them are put into one text, whose tokens are told apart by their lengths; a word
+        with one sign behind it is the word and the sign."""
+        signed = [p for p in pieces if len(p) > 1 and p[-1] in ".,;:!?" and p[:-1].isalpha()]
+        words = {p for p in pieces if p.isalpha()}.union(p[:-1] for p in signed).difference(self.known)
+        words = list(words)
+        for i in range(0, len(words), 10 * AT_ONCE):
+            some = words[i : i + 10 * AT_ONCE]
+            ids = np.array(self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False).ids, dtype="<u4")
             ends = np.cumsum([len(p.encode()) + 1 for p in some])
-            lengths = np.array([len(t) for t in whole.tokens])  # a byte-level token has one character per byte
-            cuts = np.searchsorted(np.cumsum(lengths), ends)
-            if np.array_equal(np.cumsum(lengths)[cuts], ends):
-                start = 0
-                for p, c in zip(some, cuts):
-                    self.known[p] = ids[start : c + 1].tobytes()
-                    start = c + 1
+            reached = np.cumsum(self.width[ids])
+            cuts = np.searchsorted(reached, ends) + 1
+            if np.array_equal(reached[cuts - 1], ends):
+                data, cuts = ids.tobytes(), (4 * cuts).tolist()
+                self.known.update((p, data[s:e]) for p, s, e in zip(some, [0, *cuts], cuts))
             else:
                 self.known.update(zip(some, self._encode([" " + p for p in some])))
-        other = [p for p in pieces if not p.isalpha()]
+        for p in signed:
+            self.known[p] = self.known[p[:-1]] + self.signs[p[-1]]
+        other = [p for p in pieces if p not in self.known]
         self.known.update(zip(other, self._encode([" " + p for p in other])))
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -130,15 +138,22 @@ class Encoder:
         for t in texts:
             whole = _INSIDE.search(t) or any(s in t for s in self.special)
             split.append(None if whole else t.split(" "))
-        pieces = set(chain.from_iterable(s[1:] for s in split if s))
         if len(self.known) > MEMORY:
             self.known = {}
-        self._learn({p for p in pieces if p not in self.known})
+        self._learn([p for p in set(chain.from_iterable(s[1:] for s in split if s)) if p not in self.known])
         known = self.known
         heads = iter(self._encode([t if s is None else s[0] for t, s in zip(texts, split)]))
         return [next(heads) + (b"".join([known[p] for p in s[1:]]) if s else b"") for s in split]
 
 
+def encoder_of(path: str) -> Encoder:
+    """The encoder that this worker process keeps between tasks."""
+    kept = sys.__dict__.setdefault("_jobloom_encoders", {})
+    if path not in kept:
+        kept[path] = Encoder(path)
+    return kept[path]
+
+
 _SEGMENT = (
     "part int, seq int, first long, n_tokens long, ids array<long>, lengths array<long>, "
     "levels array<struct<chunks: binary, more: binary, ranks: binary>>"
@@ -154,7 +169,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = END_ID, id_col:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = Encoder(tokenizer), TaskContext.get().partitionId()
+        encoder, part = encoder_of(tokenizer), TaskContext.get().partitionId()
         ids, lengths, data, first, size, seq = [], [], [], 0, 0, 0
         end = np.array([end_id], dtype="<u4").tobytes()
 
