@@ -103,32 +103,50 @@ class Encoder:
         self.width = np.zeros(self.tokenizer.get_vocab_size(), dtype=np.int64)
         for token, number in self.tokenizer.get_vocab().items():
             self.width[number] = len(token)
-        self.signs = dict(zip(".,;:!?", self._encode(list(".,;:!?"))))
+        self.signs = {"": b"", **dict(zip(".,;:!?", self._encode(list(".,;:!?"))))}
+        self._line = self._encode(["\n"])[0]
         self.known: dict[str, bytes] = {}
+        self.lines: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         some = (texts[i : i + AT_ONCE] for i in range(0, len(texts), AT_ONCE))
         return [np.array(e.ids, dtype="<u4").tobytes() for part in some for e in self.tokenizer.encode_batch(part, add_special_tokens=False)]
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Encode new pieces. Words among them are put into one text, whose tokens are told apart by their lengths; a word
-        with one sign behind it is the word and the sign."""
-        signed = [p for p in pieces if len(p) > 1 and p[-1] in ".,;:!?" and p[:-1].isalpha()]
-        words = {p for p in pieces if p.isalpha()}.union(p[:-1] for p in signed).difference(self.known)
-        words = list(words)
-        for i in range(0, len(words), 10 * AT_ONCE):
-            some = words[i : i + 10 * AT_ONCE]
-            ids = np.array(self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False).ids, dtype="<u4")
+    def _words(self, words: set[str], before: str, known: dict[str, bytes]) -> None:
+        """Learn words that stand behind `before`, a space or a line end: they are put into one text, whose tokens are told
+        apart by their lengths."""
+        new = [w for w in words if w not in known]
+        for i in range(0, len(new), 10 * AT_ONCE):
+            some = new[i : i + 10 * AT_ONCE]
+            ids = np.array(self.tokenizer.encode(before + before.join(some), add_special_tokens=False).ids, dtype="<u4")
             ends = np.cumsum([len(p.encode()) + 1 for p in some])
             reached = np.cumsum(self.width[ids])
             cuts = np.searchsorted(reached, ends) + 1
             if np.array_equal(reached[cuts - 1], ends):
                 data, cuts = ids.tobytes(), (4 * cuts).tolist()
-                self.known.update((p, data[s:e]) for p, s, e in zip(some, [0, *cuts], cuts))
+                known.update((p, data[s:e]) for p, s, e in zip(some, [0, *cuts], cuts))
             else:
-                self.known.update(zip(some, self._encode([" " + p for p in some])))
-        for p in signed:
-            self.known[p] = self.known[p[:-1]] + self.signs[p[-1]]
+                known.update(zip(some, self._encode([before + p for p in some])))
+
+    def _parts(self, piece: str) -> list[tuple[str, str]] | None:
+        """(word, sign behind it or nothing) of each line of a piece, or None if it holds anything else."""
+        out = [(x, "") if x.isalpha() else (x[:-1], x[-1:]) for x in piece.split("\n")]
+        return out if all(w.isalpha() and (not s or s in self.signs) for w, s in out) else None
+
+    def _learn(self, pieces: list[str], heads: list[str]) -> None:
+        """Encode new pieces, which follow a space, from their words where they are made of words; the first words of texts
+        are learned as if they stood behind a line end."""
+        signs = self.signs
+        alone = {p for p in pieces if p.isalpha()}
+        signed = [p for p in pieces if p[-1:] in signs and p[:-1].isalpha()]
+        split = [(p, x) for p in pieces if "\n" in p and (x := self._parts(p))]
+        first = [x for x in map(self._parts, heads) if x]
+        self._words(alone.union((p[:-1] for p in signed), (x[0][0] for _, x in split)), " ", self.known)
+        self._words({w for _, x in split for w, _ in x[1:]}.union(w for x in first for w, _ in x), "\n", self.lines)
+        known, lines = self.known, self.lines
+        known.update([(p, known[p[:-1]] + signs[p[-1]]) for p in signed])
+        for p, ((word, sign), *more) in split:
+            known[p] = b"".join((known[word], signs[sign], *(x for w, s in more for x in (lines[w], signs[s]))))
         other = [p for p in pieces if p not in self.known]
         self.known.update(zip(other, self._encode([" " + p for p in other])))
 
@@ -137,13 +155,21 @@ class Encoder:
         split = []
         for t in texts:
             whole = _INSIDE.search(t) or any(s in t for s in self.special)
-            split.append(None if whole else t.split(" "))
-        if len(self.known) > MEMORY:
-            self.known = {}
-        self._learn([p for p in set(chain.from_iterable(s[1:] for s in split if s)) if p not in self.known])
-        known = self.known
-        heads = iter(self._encode([t if s is None else s[0] for t, s in zip(texts, split)]))
-        return [next(heads) + (b"".join([known[p] for p in s[1:]]) if s else b"") for s in split]
+            split.append([] if whole else t.split(" "))
+        pieces = set(chain.from_iterable(s[1:] for s in split))
+        if len(self.known) > MEMORY:  # what is in use now is kept, as it is likely common
+            self.known = {p: self.known[p] for p in pieces if p in self.known}
+            self.lines = {}
+        self._learn([p for p in pieces if p not in self.known], [s[0] for s in split if s])
+        known, lines, signs = self.known, self.lines, self.signs
+        line = len(self._line)
+        begun = [self._parts(s[0]) if s else None for s in split]
+        rest = iter(self._encode([s[0] if s else t for t, s, x in zip(texts, split, begun) if not x]))
+        out = []
+        for pieces, parts in zip(split, begun):
+            head = b"".join([y for w, s in parts for y in (lines[w], signs[s])])[line:] if parts else next(rest)
+            out.append(head + b"".join([known[p] for p in pieces[1:]]))
+        return out
 
 
 def encoder_of(path: str) -> Encoder:
