@@ -63,7 +63,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     plan = mixing.plan(known, id_col=ID)
     uses = plan.select("id", F.filter("uses", lambda u: 2 * u["take"] >= F.col("size")).alias("uses")).groupBy("id").agg(F.max("uses").alias("uses"))
     used = known.join(uses.withColumnRenamed("id", ID), ID).withColumn("_use", F.explode("uses"))
-    return mixing.in_training_order(used.withColumn("_position", F.col("_use.position")), "_position").select(docs.columns)
+    return mixing.in_training_order(used.withColumn("_position", F.col("_use.position")), "_position", ID).select(docs.columns)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

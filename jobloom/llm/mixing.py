@@ -111,5 +111,7 @@ def plan(docs: DataFrame, phases: Sequence[Phase] = CURRICULUM, share: float = S
     return joined.withColumn("uses", uses).select("id", "source", "size", "source_size", "target", taken.alias("taken"), "uses")
 
 
-def in_training_order(rows: DataFrame, position: str = "position") -> DataFrame:
-    return rows.repartitionByRange(F.col(position).asc_nulls_last()).sortWithinPartitions(F.col(position).asc_nulls_last())
+def in_training_order(rows: DataFrame, position: str, tie: str) -> DataFrame:
+    """Rows range-sorted by position, those without one last; `tie` also spreads rows of equal or no position over ranges."""
+    order = [F.col(position).asc_nulls_last(), F.col(tie)]
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order)

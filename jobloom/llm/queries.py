@@ -109,7 +109,7 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     settle(spark)
     mixed = mixing.plan(table(spark, sf_dir, "documents")).withColumn("position", F.array_min(F.transform("uses", lambda u: u["position"])))
-    ordered = mixing.in_training_order(mixed)
+    ordered = mixing.in_training_order(mixed, "position", "id")
     return ordered.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "source", "position")
 
 
