@@ -278,9 +278,18 @@ _DAY = "CAST(strptime(CAST(date_posted_key AS VARCHAR), '%Y%m%d') AS DATE)"
 _CAL = f"""SELECT date_posted_key AS date_key, CAST(d AS VARCHAR) AS full_date, isodow(d) AS day_of_week, dayname(d) AS day_name,
   month(d) AS month, monthname(d) AS month_name, quarter(d) AS quarter, year(d) AS year, isodow(d) IN (6, 7) AS is_weekend,
   day(d) AS day, weekofyear(d) AS week_of_year, postings
-FROM (SELECT date_posted_key, {_DAY} AS d, count(*) AS postings FROM fact GROUP BY 1, 2)
-WHERE d BETWEEN DATE '2024-01-01' AND DATE '2027-12-31'"""
-oracle("dim_date_usage", _CAL, "fact")
+FROM (SELECT date_posted_key, {_DAY} AS d, count(*) AS postings FROM fact GROUP BY 1, 2)"""
+# The calendar reaches over all posted days, and over 2024 to 2027 at least.
+_SPAN = f"""SELECT d FROM (SELECT unnest(range(least(DATE '2024-01-01', min(day)), greatest(DATE '2028-01-01', max(day) + 1), INTERVAL 1 DAY)) AS d
+  FROM (SELECT {_DAY} AS day FROM fact))"""
+oracle(
+    "dim_date_usage",
+    f"""SELECT CAST(strftime(c.d, '%Y%m%d') AS BIGINT) AS date_key, CAST(CAST(c.d AS DATE) AS VARCHAR) AS full_date, isodow(c.d) AS day_of_week, dayname(c.d) AS day_name,
+  month(c.d) AS month, monthname(c.d) AS month_name, quarter(c.d) AS quarter, year(c.d) AS year, isodow(c.d) IN (6, 7) AS is_weekend,
+  day(c.d) AS day, weekofyear(c.d) AS week_of_year, n.postings
+FROM ({_SPAN}) c LEFT JOIN (SELECT date_posted_key, count(*) AS postings FROM fact GROUP BY 1) n ON n.date_posted_key = CAST(strftime(c.d, '%Y%m%d') AS BIGINT)""",
+    "fact",
+)
 oracle("fact_posting", "SELECT * FROM fact", "fact")
 oracle("fact_posting_skew_safe", "SELECT job_key, company_key FROM fact", "fact")
 oracle(
@@ -308,7 +317,7 @@ oracle(
         f"SELECT '{name}' AS table_name, count(*) AS rows FROM {step}"
         for name, step in (("dim_companies", "companies"), ("dim_locations", "locations"), ("dim_skills", "skills"), ("fct_job_postings", "fact"), ("fct_skill_demand", "demand"))
     )
-    + " UNION ALL SELECT 'dim_date', count(*) FROM range(DATE '2024-01-01', DATE '2028-01-01', INTERVAL 1 DAY)",
+    + f" UNION ALL SELECT 'dim_date', count(*) FROM ({_SPAN})",
     "fact",
     "demand",
 )
@@ -523,7 +532,7 @@ FROM (SELECT event_type, user_id, {_LAST} FROM events GROUP BY 1, 2)""",
 )
 _RUNS = """SELECT event_type AS source, min(event_id) AS id, min(ts) AS started_at, count(*) FILTER (value > 5) AS records_scraped,
   CASE WHEN day(CAST(ts AS DATE)) % 5 = 0 THEN 'error' ELSE 'success' END AS status FROM events GROUP BY CAST(ts AS DATE), event_type"""
-oracle("run_log", f"SELECT id, source, records_scraped, status, CASE WHEN status = 'error' THEN 1000 END AS error_length FROM ({_RUNS})")
+oracle("run_log", f"SELECT id, source, records_scraped, status, CASE WHEN status = 'error' THEN 1600 END AS error_length FROM ({_RUNS})")
 oracle(
     "run_health",
     f"""SELECT source, count(*) AS runs, epoch_us(max(started_at)) AS last_started_at, arg_max(status, started_at) AS last_status, CAST(sum(records_scraped) AS BIGINT) AS records_total,
@@ -571,7 +580,7 @@ oracle(
 _ONLINE_HREF = f"CASE WHEN raw_id % 2 = 0 THEN '/jobseekers/job/some-title-' || {_R} ELSE 'https://www.onlinejobs.ph/jobseekers/job/no_number_' || {_R} || 'x' END"
 oracle(
     "flatten_cards_onlinejobs",
-    f"""SELECT {_PAGE_NO}, 'onlinejobs_' || CASE WHEN raw_id % 2 = 0 THEN {_R} ELSE substr(md5(h), 1, 12) END AS source_id, {_LINKED_TITLE}, CAST(NULL AS VARCHAR) AS company, CAST(NULL AS VARCHAR) AS location,
+    f"""SELECT {_PAGE_NO}, 'onlinejobs_' || CASE WHEN raw_id % 2 = 0 THEN {_R} ELSE md5(h) END AS source_id, {_LINKED_TITLE}, CAST(NULL AS VARCHAR) AS company, CAST(NULL AS VARCHAR) AS location,
   CASE WHEN raw_id % 7 <> 0 THEN nullif(trim(salary_raw), '') END AS salary_raw, CAST(NULL AS VARCHAR) AS description, {_TRIMMED['employment_type']}, coalesce(posted_date, '') AS posted_date,
   CASE WHEN raw_id % 2 = 0 THEN 'https://www.onlinejobs.ph' || h ELSE h END AS url, 'USD' AS salary_currency, true AS is_remote
 FROM (SELECT *, {_ONLINE_HREF} AS h FROM f)""",
@@ -596,7 +605,7 @@ WHERE (page_no % 4 <> 1 OR raw_id % 4 <> 3) AND (raw_id <> 0 OR page_no % 4 = 3)
 )
 _LINKS = r"""SELECT page_id, unnest(regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 1)) AS href,
   unnest(regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 2)) AS label FROM pages"""
-_HASH_ID = r"coalesce(nullif(regexp_extract({0}, '-(\d+)/*$', 1), ''), substr(md5({0}), 1, 12))"
+_HASH_ID = r"coalesce(nullif(regexp_extract({0}, '-(\d+)/*$', 1), ''), md5({0}))"
 oracle("page_links", f"SELECT page_id, trim(label) AS label, href, 'link_' || {_HASH_ID.format('href')} AS link_id FROM ({_LINKS})")
 oracle("page_source_id", f"SELECT page_id, 'page_' || {_HASH_ID.format('url')} AS source_id FROM pages")
 oracle(

@@ -148,10 +148,10 @@ def _(spark, sf):
 
 @query("dim_date_usage")
 def _(spark, sf):
-    """The calendar days on which something was posted, with all calendar columns."""
+    """Every calendar day with its columns and the number of postings, none included."""
     m = fx.marts(spark, sf)
     days = m.fct_job_postings.groupBy("date_posted_key").agg(F.count("*").alias("postings"))
-    return dims.build_dim_date(spark).join(days, F.col("date_key") == F.col("date_posted_key")).drop("date_posted_key")
+    return m.dim_date.join(days, F.col("date_key") == F.col("date_posted_key"), "left").drop("date_posted_key")
 
 
 @query("fact_posting")

@@ -9,7 +9,7 @@ from jobloom.functions.location import looks_remote, map_city
 from jobloom.functions.text import date_key, fold, not_blank, slug
 from jobloom.operators.positions import dense_key
 
-# The calendar's first and last day.
+# First and last day that the calendar has at least.
 CALENDAR_START = "2024-01-01"
 CALENDAR_END = "2027-12-31"
 
@@ -72,6 +72,13 @@ def build_dim_skills(dictionary: DataFrame) -> DataFrame:
     return dense_key(grouped, ["skill_name"], "skill_key", bounded=True)
 
 
+def calendar_span(postings: DataFrame) -> tuple[str, str]:
+    """First and last day of a calendar that covers all posted days; two numbers reach the driver."""
+    first, last = postings.agg(F.min("date_posted_key"), F.max("date_posted_key")).first()
+    days = [f"{str(d)[:4]}-{str(d)[4:6]}-{str(d)[6:]}" for d in (first, last) if d is not None]
+    return min([CALENDAR_START, *days]), max([CALENDAR_END, *days])
+
+
 def build_dim_date(spark: SparkSession, start: str = CALENDAR_START, end: str = CALENDAR_END) -> DataFrame:
     """One row per day, with the extra columns the readers of the calendar expect."""
     days = spark.range(1).select(F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))).alias("full_date"))

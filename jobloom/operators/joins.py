@@ -32,7 +32,7 @@ def left_join_dimension(
     wanted = dimension.select(F.col(dim_key).alias("_dim_key"), F.col(weight).alias("_weight"), *[F.col(c).alias(n) for c, n in take.items()])
     keyed = fact.withColumn("_key", fact_key)
     if estimated_bytes(wanted) <= small_bytes:
-        return keyed.join(wanted.drop("_weight"), F.col("_key") == F.col("_dim_key"), "left").drop("_key", "_dim_key")
+        return keyed.join(F.broadcast(wanted.drop("_weight")), F.col("_key") == F.col("_dim_key"), "left").drop("_key", "_dim_key")
 
     total = wanted.agg(F.sum("_weight")).scalar()
     marked = wanted.withColumn("_hot", F.col("_weight") * HOT_FRACTION > total)

@@ -203,9 +203,9 @@ def trailing_number(href: Column) -> Column:
     return first_group(href, r"-(\d+)/*$")
 
 
-def number_or_hash_id(href: Column, prefix: str) -> Column:
-    """Trailing number, else the first 12 digits of the link's md5."""
-    return F.concat(F.lit(prefix), F.coalesce(trailing_number(href), F.substring(F.md5(href), 1, 12)))
+def number_or_hash_id(href: Column, prefix: str, digits: int = 32) -> Column:
+    """Trailing number, else the link's md5; fewer `digits` of it make shorter ids that can collide."""
+    return F.concat(F.lit(prefix), F.coalesce(trailing_number(href), F.substring(F.md5(href), 1, digits)))
 
 
 def job_path_id(href: Column) -> Column:

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PAGE_SIZE = 25
-MAX_PAGE_SIZE = 2000
 
 LIST_COLUMNS = (
     "job_key",
@@ -94,16 +93,26 @@ def ordering(spec: str | None, allowed: Sequence[str], default: Sequence[str], t
     return [*columns, F.asc(tie)]
 
 
-def page(df: DataFrame, order: Sequence[Column], number: int = 1, size: int = PAGE_SIZE) -> Page:
-    """One page in `order` and the total row count as a one-row DataFrame."""
-    size = max(1, min(size, MAX_PAGE_SIZE))
+def _checked(number: int, size: int, max_size: int | None) -> None:
+    if number < 1 or size < 1:
+        raise ValueError(f"page {number} of size {size}: both start at 1")
+    if max_size is not None and size > max_size:
+        raise ValueError(f"page size {size} is above {max_size}")
+
+
+def page(df: DataFrame, order: Sequence[Column], number: int = 1, size: int = PAGE_SIZE, max_size: int | None = None) -> Page:
+    """One page in `order` and the total row count as a one-row DataFrame.
+
+    A caller that wants to bound pages gives `max_size`; a larger `size` is then an error, never a shorter page.
+    """
+    _checked(number, size, max_size)
     rows = df.orderBy(*order).offset((number - 1) * size).limit(size)
     return Page(rows, df.agg(F.count("*").alias("total")))
 
 
-def page_after(df: DataFrame, key: str, last_value, tie: str, last_tie, size: int = PAGE_SIZE) -> DataFrame:
+def page_after(df: DataFrame, key: str, last_value, tie: str, last_tie, size: int = PAGE_SIZE, max_size: int | None = None) -> DataFrame:
     """The page after a known last row, `key` descending with NULLs first: a filter instead of a growing offset."""
-    size = max(1, min(size, MAX_PAGE_SIZE))
+    _checked(1, size, max_size)
     column, same_later = F.col(key), F.col(tie) > F.lit(last_tie)
     if last_value is None:
         rest = column.isNotNull() | (column.isNull() & same_later)

@@ -10,6 +10,9 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +21,7 @@ from jobloom.functions.text import WORD, whole_word
 
 _LITERAL = re.compile(r"(?:[\w\s/#&,:;@'-]|\\[^\w\s])+", re.ASCII)
 _PLAIN = re.compile(r"\w+", re.ASCII)
-# Above this many entries the dictionary is joined instead of being compiled into the plan.
+# Entries of one compiled plan: by default larger dictionaries are joined, and free regexes are checked in groups of this many.
 COMPILED_TERMS = 2000
 
 PAIR = "struct<name:string,category:string>"
@@ -60,13 +63,8 @@ def load_terms(dictionary: DataFrame, limit: int | None = None) -> list[Term]:
 
 
 def tokens_of(texts: Sequence[Column]) -> Column:
-    """Distinct lower-case tokens of all texts.
-
-    The Kelvin sign is the one other character whose lower case is an ASCII letter; it is replaced so that tokens
-    agree with the ASCII case folding of the regexes.
-    """
-    joined = F.concat_ws("\n", *texts)
-    lowered = F.lower(F.replace(joined, F.lit("K"), F.lit("ĸ")))
+    """Distinct tokens of all texts, with A-Z in lower case and every other letter as it stands, like the regexes."""
+    lowered = F.translate(F.concat_ws("\n", *texts), ascii_uppercase, ascii_lowercase)
     return F.array_distinct(F.regexp_extract_all(lowered, F.lit(f"{WORD}+"), F.lit(0)))
 
 
@@ -143,7 +141,8 @@ def match_terms(
     """One row per (id, skill_name, skill_category) whose term occurs in any text or array element.
 
     unique_ids: `df` has one row per id, so the per-row distinct is the final distinct. `carry` columns go along.
-    method: "compiled", "joined", or "auto" = compiled up to COMPILED_TERMS entries.
+    method: "compiled", "joined", or "auto" = compiled up to COMPILED_TERMS entries; both give the same rows. Rows that share
+    an id, null ones too, are one row of the result.
     """
     if method == "auto":
         terms = load_terms(dictionary, COMPILED_TERMS + 1)
@@ -188,9 +187,6 @@ def _joined(df, id_cols, text_cols, array_cols, dictionary, boundary, carry) ->
     )
     anchored = terms.where("is_literal and usable and anchor <> ''").drop("is_literal", "usable")
     rest = [Term(*r) for r in terms.where("not is_literal or anchor = ''").select("pattern", "skill_name", "skill_category").collect()]
-    if len(rest) > COMPILED_TERMS:
-        raise ValueError(f"{len(rest)} free regexes; give them as words or phrases to match a dictionary of this size")
-
     rows = df.select(*id_cols, *carry, *[c for c in [*text_cols, *array_cols] if c not in {*id_cols, *carry}])
     body = [F.col(c) for c in text_cols] + [F.array_join(c, "\n") for c in array_cols]
     # Only ids travel with the tokens; the texts would be copied once per token.
@@ -208,9 +204,12 @@ def _joined(df, id_cols, text_cols, array_cols, dictionary, boundary, carry) ->
     for c in array_cols:
         found = found | F.coalesce(F.exists(c, lambda e: F.rlike(e, regex)), F.lit(False))
     candidates = tokens.drop(*carry).join(anchored.where(~words), "anchor").drop("anchor")
-    pairs = pairs.unionByName(candidates.join(rows, list(id_cols)).where(found).select(*out))
-    if rest:
-        extra = matched_pairs(rows, [F.col(c) for c in text_cols], [F.col(c) for c in array_cols], rest, boundary)
+    renamed = candidates.withColumnsRenamed({c: f"_{c}_of_candidate" for c in id_cols}).distinct()
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}_of_candidate")) for c in id_cols])
+    pairs = pairs.unionByName(rows.join(renamed, same).where(found).select(*out))
+    for i in range(0, len(rest), COMPILED_TERMS):
+        group = rest[i : i + COMPILED_TERMS]
+        extra = matched_pairs(rows, [F.col(c) for c in text_cols], [F.col(c) for c in array_cols], group, boundary)
         extra = extra.select(*id_cols, *carry, F.inline_outer("_pairs").alias("skill_name", "skill_category"))
         pairs = pairs.unionByName(extra.where("skill_name is not null"))
     return pairs.dropDuplicates([*id_cols, "skill_name", "skill_category"])

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from jobloom.operators.dims import build_dim_companies, build_dim_date, build_dim_locations, build_dim_skills
+from jobloom.operators.dims import build_dim_companies, build_dim_date, build_dim_locations, build_dim_skills, calendar_span
 from jobloom.operators.facts import build_fct_postings, build_fct_skill_demand
 from jobloom.operators.staging import stage_all
 from jobloom.operators.unify import dedup_latest
@@ -54,7 +54,7 @@ def build_warehouse(
     companies = materialize(build_dim_companies(deduped), "marts", "dim_companies", root)
     weighted = materialize(build_dim_locations(deduped, regions, keep_counts=True), "marts", "dim_locations", root)
     skills = materialize(build_dim_skills(dictionary), "marts", "dim_skills", root)
-    calendar = materialize(build_dim_date(spark), "marts", "dim_date", root)
     postings = materialize(build_fct_postings(deduped, companies, weighted), "marts", "fct_job_postings", root)
+    calendar = materialize(build_dim_date(spark, *calendar_span(postings)), "marts", "dim_date", root)
     demand = materialize(build_fct_skill_demand(deduped, dictionary, skills), "marts", "fct_skill_demand", root)
     return Marts(deduped, companies, weighted.drop("postings"), skills, calendar, postings, demand)

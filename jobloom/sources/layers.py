@@ -12,7 +12,6 @@ from jobloom.session import cut
 LAYER_SCHEMAS = {"staging": "staging", "marts": "warehouse"}
 LAYER_KINDS = {"staging": "view", "intermediate": "inline", "marts": "table"}
 DEFAULT_SCHEMA = "dev"
-ERROR_TEXT_LENGTH = 1000
 
 
 def schema_of(layer: str) -> str:
@@ -73,17 +72,16 @@ def read_snapshots(spark: SparkSession, path: str, like: DataFrame) -> DataFrame
     return spark.read.schema(like.schema).parquet(path).select(*like.columns)
 
 
-def run_log_rows(runs: DataFrame) -> DataFrame:
-    """Shape run records like the log; error text is cut to its stored length."""
-    shaped = runs.withColumn("error_message", F.substring("error_message", 1, ERROR_TEXT_LENGTH)).withColumn(
-        "status", F.coalesce("status", F.lit("running"))
-    )
+def run_log_rows(runs: DataFrame, error_length: int | None = None) -> DataFrame:
+    """Shape run records like the log; error text is whole unless `error_length` says how much of it to store."""
+    text = F.col("error_message") if error_length is None else F.substring("error_message", 1, error_length)
+    shaped = runs.withColumn("error_message", text).withColumn("status", F.coalesce("status", F.lit("running")))
     shaped = shaped.withColumn("records_scraped", F.coalesce("records_scraped", F.lit(0)))
     return shaped.select(*[F.col(f.name).cast(f.dataType) for f in schemas.RUN_LOG.fields])
 
 
-def append_run_log(runs: DataFrame, path: str) -> None:
-    run_log_rows(runs).write.mode("append").parquet(path)
+def append_run_log(runs: DataFrame, path: str, error_length: int | None = None) -> None:
+    run_log_rows(runs, error_length).write.mode("append").parquet(path)
 
 
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:

@@ -163,7 +163,8 @@ def test_run_log_and_health(spark):
     path = scratch_path(spark, "log")
     layers.append_run_log(runs, path)
     log = layers.read_run_log(spark, path)
-    assert max(len(r.error_message or "") for r in log.collect()) == 1000
+    assert max(len(r.error_message or "") for r in log.collect()) == 1500
+    assert max(len(r.error_message or "") for r in layers.run_log_rows(runs, error_length=1000).collect()) == 1000
     health = {r.source: r for r in layers.run_health(log).collect()}
     assert (health["a"].runs, health["a"].last_status, health["a"].empty_runs) == (2, "running", 1)
     assert (health["b"].failed_runs, health["b"].records_total) == (1, 0)
@@ -297,3 +298,12 @@ def test_half_even_and_empty(spark):
 def test_dim_date(spark):
     r = dims.build_dim_date(spark).where("date_key = 20260531").first()
     assert (r.day_name, r.day_of_week, r.month_name, r.quarter, r.is_weekend, r.day, r.week_of_year) == ("Sunday", 7, "May", 2, True, 31, 22)
+
+
+def test_a_page_is_as_large_as_asked(spark):
+    rows = spark.range(3000)
+    order = [F.col("id")]
+    assert search.page(rows, order, size=3000).rows.count() == 3000
+    for bad in ({"number": 0}, {"size": 0}, {"size": 30, "max_size": 20}):
+        with pytest.raises(ValueError):
+            search.page(rows, order, **bad)

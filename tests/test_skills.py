@@ -30,6 +30,8 @@ TEXTS = [
     "_sql SQL_ sql",
     "ReactXjs",
     "K8s",
+    "İsql x",
+    "\u212a8s ſql",
 ]
 STRICT = [
     {"JavaScript"},
@@ -43,6 +45,8 @@ STRICT = [
     {"SQL"},
     set(),
     set(),
+    set(),
+    set(),
 ]
 
 
@@ -89,3 +93,14 @@ def test_matching_stays_in_the_row(spark):
     df = spark.createDataFrame([(1, "Java")], "id long, t string")
     plan = skills.match_terms(df, ["id"], ["t"], [], read_seed(spark, "skill_terms"))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Join" not in plan
+
+
+@pytest.mark.parametrize("method", ["compiled", "joined"])
+def test_null_and_repeated_ids_and_many_regexes(spark, monkeypatch, method):
+    rows = [(None, "power bi and sql"), (1, "sql"), (1, "power bi"), (None, None)]
+    terms = [("sql", "SQL", "x"), ("power bi", "Power BI", "x"), *((f"z+{i}x?", f"Z{i}", "x") for i in range(7)), ("bi+", "BI", "x")]
+    monkeypatch.setattr(skills, "COMPILED_TERMS", 3)
+    df = spark.createDataFrame(rows, "id long, t string")
+    words = spark.createDataFrame(terms, "pattern string, canonical_name string, category string")
+    out = skills.match_terms(df, ["id"], ["t"], [], words, unique_ids=False, method=method)
+    assert sorted((r.id or 0, r.skill_name) for r in out.collect()) == [(0, "BI"), (0, "Power BI"), (0, "SQL"), (1, "BI"), (1, "Power BI"), (1, "SQL")]
