@@ -30,7 +30,7 @@ END_ID = 2
 SEGMENT_TOKENS = 1_000_000
 RANK_BITS = 512
 #: Entries after which a worker's memory of encoded pieces starts afresh; it only saves time.
-MEMORY = 500_000
+MEMORY = 900_000
 #: Texts or pieces that the library encodes in one call; its results take far more room than ids.
 AT_ONCE = 200
 
