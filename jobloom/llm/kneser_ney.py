@@ -1,58 +1,71 @@
 """Quality classifier: an interpolated modified Kneser-Ney model of character n-grams, trained on trusted text.
 
-Characters fall into 64 classes (fixed below), so an n-gram of order 4 is one of 64^4 codes: the model has a proven size
-bound however large the corpus is. Counts are taken per task, merged by a shuffle sharded on the n-gram, and turned into
-probabilities by joins of the sharded counts with their contexts and with the next shorter n-grams. The joined result is
-one log probability per code; scoring looks codes up in that table of fixed size (64 MiB), so no text is shuffled.
+An n-gram of order 4 is four 16-bit characters in one long, so no n-gram is merged with another and the model grows with
+the text. Counts of trusted text are merged by a shuffle sharded on the n-gram and turned into probabilities by joins with
+their contexts and with the next shorter n-grams.
+
+Scoring is a sharded join as well. Documents are taken in chunks, stretches of a scan task; each chunk asks once for each
+of its different n-grams. The questions meet the model's shards, the answers go back by chunk and meet the chunk's
+compressed texts there. Nothing is sent through the driver or broadcast, and a task holds one chunk at a time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobloom.llm.common import ids_side, map_batches
+from jobloom.llm.common import ids_side
 from jobloom.session import cut
 
 ORDER = 4
-CLASSES = 64
+BITS = 16
 EDGE = 0  # before and after a text
-#: Classes of characters. 1-26 a-z, 27-52 A-Z, then single classes.
-_OTHER = {" ": 53, "\n": 54, ".": 55, ",": 56}
-_DIGIT, _SIGN, _CONTROL, _ACCENT, _LETTER, _HIGH = 57, 58, 59, 60, 61, 62
-_BELOW = np.array(
-    [
-        _OTHER.get(c)
-        or (ord(c) - 96 if "a" <= c <= "z" else ord(c) - 38 if "A" <= c <= "Z" else _DIGIT if c.isdigit() and c.isascii() else _SIGN if "!" <= c <= "~" else _CONTROL if c < " " else _ACCENT if c.isalpha() and c < "ɐ" else _LETTER if c.isalpha() else _HIGH)
-        for c in map(chr, range(0x250))
-    ],
-    dtype=np.uint8,
-)
 FOLDS = 5
+#: Characters after which a chunk ends; the texts of an Arrow batch stay together.
+CHUNK_CHARACTERS = 16_000_000
+#: Characters that are looked up at once.
+AT_ONCE = 1 << 22
+
+
+class Model(NamedTuple):
+    """grams[k]: (gram, p) of order k + 1, interpolated; contexts[k]: (context, gamma) of order k, the weight that a
+    context leaves to the shorter n-grams; uniform: the probability of a character before any is known."""
+
+    grams: list[DataFrame]
+    contexts: list[DataFrame]
+    uniform: float
 
 
-def classes_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Classes of all texts, each with three edges before it and one after it, and where each text's own part begins."""
-    points = np.frombuffer((("\0" * (ORDER - 1)) + ("\0" * ORDER).join(t.replace("\0", " ") for t in texts) + "\0").encode("utf-32-le", "surrogatepass"), dtype="<u4")
-    found = np.where(points < 0x250, _BELOW[np.minimum(points, 0x24F)], np.where(points < 0x10000, _LETTER, _HIGH)).astype(np.int32)
-    found[points == 0] = EDGE
-    lengths = np.array([len(t) for t in texts])
-    return found, np.concatenate(([0], np.cumsum(lengths + ORDER)[:-1]))
+def last(gram: Column, k: int) -> Column:
+    """The last k characters of an n-gram."""
+    return gram if k == ORDER else gram.bitwiseAND(F.lit((1 << (BITS * k)) - 1))
 
 
-def codes_of(classes: np.ndarray) -> np.ndarray:
-    """The code of the n-gram that ends at each place from the fourth on."""
-    code = classes[: len(classes) - ORDER + 1].copy()
+def windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes of the n-grams at all places of the texts, each with three edges before it and one after it; whether each lies
+    in one text; and where each text's own begin. Characters above 16 bits share the 2,048 codes that no character has."""
+    joined = ("\0" * (ORDER - 1)) + ("\0" * ORDER).join(t.replace("\0", " ") for t in texts) + "\0"
+    points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
+    high = points >= 1 << BITS
+    points[high] = 0xD800 | (points[high] & 0x7FF)
+    codes = points[: len(points) - ORDER + 1].copy()
     for i in range(1, ORDER):
-        code = code * CLASSES + classes[i : len(classes) - ORDER + 1 + i]
-    return code
+        codes = (codes << BITS) | points[i : len(points) - ORDER + 1 + i]
+    starts = np.concatenate(([0], np.cumsum([len(t) + ORDER for t in texts])[:-1])).astype(np.int64)
+    inside = np.ones(len(codes), dtype=bool)
+    for back in range(1, ORDER):
+        inside[starts[1:] - back] = False
+    return codes, inside, starts
 
 
-def _pieces(texts: list[str], most: int = 1 << 22) -> Iterator[tuple[int, list[str]]]:
+def _pieces(texts: list[str], most: int = AT_ONCE) -> Iterator[tuple[int, list[str]]]:
     """Runs of texts of about `most` characters, with the number of each run's first text."""
     begin, size = 0, 0
     for i, t in enumerate(texts):
@@ -65,29 +78,16 @@ def _pieces(texts: list[str], most: int = 1 << 22) -> Iterator[tuple[int, list[s
 
 
 def count_ngrams(texts: DataFrame, text_col: str = "text") -> DataFrame:
-    """(gram int, n long) over whole texts; empty and null texts count nothing. One row per task and n-gram is shuffled."""
+    """(gram long, n long) over whole texts; empty and null texts count nothing."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
         for batch in batches:
-            texts = [t for t in batch.column(0).to_pylist() if t]
-            for _, piece in _pieces(texts):
-                classes, starts = classes_of(piece)
-                codes = codes_of(classes)
-                inside = np.ones(len(codes), dtype=bool)
-                for back in range(1, ORDER):  # windows that reach from one text's end into the next
-                    inside[starts[1:] - back] = False
-                counts = np.bincount(codes[inside], minlength=CLASSES**ORDER)
-                if total is None:
-                    total = counts
-                else:
-                    total += counts
-                del counts
-        if total is not None:
-            grams = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(grams.astype(np.int32)), pa.array(total[grams])], names=["gram", "n"])
-
-    return texts.select(F.col(text_col).alias("text")).mapInArrow(run, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+            for _, piece in _pieces([t for t in batch.column(0).to_pylist() if t]):
+                codes, inside, _ = windows(piece)
+                counts = pc.value_counts(pa.array(codes[inside]))
+                yield pa.RecordBatch.from_arrays([counts.field("values"), counts.field("counts")], names=["gram", "n"])
+
+    return texts.select(F.col(text_col).alias("text")).mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
 def _discounts(counts: DataFrame) -> list[float]:
@@ -99,69 +99,126 @@ def _discounts(counts: DataFrame) -> list[float]:
     return [min(max(d, 0.05), top) for d, top in zip(raw, (0.95, 1.9, 2.85))]
 
 
-def train(trusted: DataFrame, text_col: str = "text") -> tuple[list[DataFrame], list[DataFrame]]:
-    """Probabilities per order, and per order the weight that its contexts leave to the shorter n-grams.
-
-    grams[k]: (gram, p) of order k + 1, interpolated; contexts[k]: (context, gamma) of order k. Lower orders count the
-    distinct n-grams that they end. All are joins of counts sharded by n-gram or context.
-    """
+def train(trusted: DataFrame, text_col: str = "text") -> Model:
+    """The model of all texts of `trusted`. Lower orders count the distinct n-grams that they end. All are joins of counts
+    sharded by n-gram or context. No text gives a model in which every character has probability 1."""
     counts = [None] * ORDER
     counts[-1] = cut(count_ngrams(trusted, text_col), "ngrams")
     for k in range(ORDER - 2, -1, -1):
-        counts[k] = counts[k + 1].groupBy((F.col("gram") % CLASSES ** (k + 1)).alias("gram")).agg(F.count("*").alias("n"))
+        counts[k] = counts[k + 1].groupBy(last(F.col("gram"), k + 1).alias("gram")).agg(F.count("*").alias("n"))
+    uniform = 1.0 / (counts[0].count() + 1)  # all characters that were never seen count as one
     grams, contexts = [], []
     for k in range(ORDER):
         d1, d2, d3 = _discounts(counts[k])
         cost = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
-        each = counts[k].select("gram", F.floor(F.col("gram") / CLASSES).cast("int").alias("context"), "n", F.least(cost, F.col("n").cast("double")).alias("cost"))
+        each = counts[k].select("gram", F.shiftrightunsigned("gram", BITS).alias("context"), "n", F.least(cost, F.col("n").cast("double")).alias("cost"))
         context = each.groupBy("context").agg(F.sum("n").alias("total"), (F.sum("cost") / F.sum("n")).alias("gamma"))
-        shorter = (
-            grams[-1].select(F.col("gram").alias("ending"), F.col("p").alias("q")) if k else trusted.sparkSession.range(1).select(F.lit(0).alias("ending"), F.lit(1.0 / CLASSES).alias("q"))
-        )
-        ending = (F.col("gram") % CLASSES**k).cast("int") if k else F.lit(0)
-        joined = each.join(context, "context").withColumn("ending", ending).join(shorter, "ending")
+        contexts.append(cut(context, "contexts"))
+        joined = each.join(contexts[-1], "context")
+        if k:
+            shorter = grams[-1].select(F.col("gram").alias("ending"), F.col("p").alias("q"))
+            joined = joined.withColumn("ending", last(F.col("gram"), k)).join(shorter, "ending")
+        else:
+            joined = joined.withColumn("q", F.lit(uniform))
         grams.append(cut(joined.select("gram", ((F.col("n") - F.col("cost")) / F.col("total") + F.col("gamma") * F.col("q")).alias("p")), "probabilities"))
-        contexts.append(cut(context.select("context", "gamma"), "contexts"))
-    return grams, contexts
+    return Model(grams, contexts, uniform)
 
 
-def lookup_table(grams: list[DataFrame], contexts: list[DataFrame]) -> np.ndarray:
-    """log2 p of all 64^4 codes as float32, made from the joined rows; unseen n-grams take their context's weight times
-    the shorter n-gram's probability. At most 64^4 rows reach the driver, 64 MiB as a table, whatever the corpus holds."""
-    longer = np.full(1, 1.0 / CLASSES)
+def probabilities(wanted: DataFrame, model: Model) -> DataFrame:
+    """(gram, p) of each distinct n-gram of `wanted` (gram), seen or not: an unseen one takes its context's weight (1 if
+    that is unseen too) times the probability of its last characters, which are looked up first, shortest to longest."""
+    found = None
     for k in range(ORDER):
-        gamma = np.ones(CLASSES**k, dtype=np.float32)
-        rows = contexts[k].toArrow()
-        gamma[rows["context"].to_numpy()] = rows["gamma"].to_numpy()
-        table = np.repeat(gamma, CLASSES) * np.tile(longer, CLASSES).astype(np.float32)
-        rows = grams[k].toArrow()
-        table[rows["gram"].to_numpy()] = rows["p"].to_numpy()
-        longer = table
-    return np.log2(longer, out=longer)
-
-
-def score(docs: DataFrame, table: np.ndarray, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(id, lang, fold, n_symbols, perplexity) of each row, over its whole text and its end. A null or empty text has no
-    symbols and no perplexity. `fold` deals texts, copies alike, into FOLDS parts."""
-    shared = docs.sparkSession.sparkContext.broadcast(table)
-
-    def per_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = [t or "" for t in batch.column(3).to_pylist()]
-        bits, lengths = np.zeros(len(texts)), np.array([len(t) for t in texts])
+        asked = wanted.select(last(F.col("gram"), k + 1).alias("gram"))
+        asked = (asked if k == ORDER - 1 else asked.distinct()).withColumn("context", F.shiftrightunsigned("gram", BITS))
+        met = asked.join(model.grams[k], "gram", "left").join(model.contexts[k].select("context", "gamma"), "context", "left")
+        if k:
+            shorter = found.select(F.col("gram").alias("ending"), F.col("p").alias("q"))
+            met = met.withColumn("ending", last(F.col("gram"), k)).join(shorter, "ending")
+        else:
+            met = met.withColumn("q", F.lit(model.uniform))
+        found = met.select("gram", F.coalesce("p", F.coalesce("gamma", F.lit(1.0)) * F.col("q")).alias("p"))
+    return found
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bool, pa.RecordBatch | None, list[str]]]:
+    """(chunk, False, batch, its texts) for each batch, and (chunk, True, None, []) where a chunk ends."""
+    part, number, size = TaskContext.get().partitionId(), 0, 0
+    for batch in batches:
+        if batch.num_rows:
+            texts = [t or "" for t in batch.column(3).to_pylist()]
+            yield f"{part}-{number}", False, batch, texts
+            size += sum(map(len, texts))
+            if size >= CHUNK_CHARACTERS:
+                yield f"{part}-{number}", True, None, []
+                number, size = number + 1, 0
+    yield f"{part}-{number}", True, None, []
+
+
+def _questions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The different n-grams of each chunk."""
+    known = np.zeros(0, dtype=np.int64)
+    for chunk, ends, _, texts in _chunks(batches):
+        for _, piece in _pieces(texts):
+            codes, inside, _ = windows(piece)
+            known = np.union1d(known, pc.unique(pa.array(codes[inside])).to_numpy())
+        if ends and len(known):
+            yield pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([known], pa.list_(pa.int64()))], names=["chunk", "grams"])
+            known = np.zeros(0, dtype=np.int64)
+
+
+_PACKED = "chunk string, id array<long>, lang array<string>, fold array<int>, bytes array<long>, texts binary"
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts of each batch, compressed together, with their chunk."""
+    codec = pa.Codec("zstd")
+    for chunk, ends, batch, texts in _chunks(batches):
+        if not ends:
+            coded = [t.encode() for t in texts]
+            row = [[chunk], *([batch.column(i).to_pylist()] for i in range(3)), [[len(c) for c in coded]], [codec.compress(b"".join(coded), asbytes=True)]]
+            types = (pa.string(), pa.list_(pa.int64()), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)], names=["chunk", "id", "lang", "fold", "bytes", "texts"])
+
+
+def _perplexities(answers: pa.Table, packed: pa.Table) -> pa.Table:
+    """Perplexity of each text of a chunk from the chunk's own n-grams."""
+    codec, grams = pa.Codec("zstd"), answers["gram"].combine_chunks()
+    bits = np.append(answers["bits"].to_numpy(), np.float32(0))  # the last place answers for windows between texts
+    out = []
+    for row in packed.to_batches(max_chunksize=1):
+        own = {name: row.column(name)[0] for name in ("id", "lang", "fold", "bytes", "texts")}
+        sizes = own["bytes"].as_py()
+        ends = np.cumsum(sizes).tolist()
+        coded = codec.decompress(own["texts"].as_py(), decompressed_size=ends[-1], asbytes=True) if ends[-1] else b""
+        texts = [coded[e - n : e].decode() for e, n in zip(ends, sizes)]
+        lengths, total = np.array([len(t) for t in texts], dtype=np.int64), np.zeros(len(texts))
         for first, piece in _pieces(texts):
-            classes, starts = classes_of(piece)
-            logs = np.concatenate(([0.0], np.cumsum(shared.value[codes_of(classes)], dtype=np.float64)))
-            own = lengths[first : first + len(piece)]
-            bits[first : first + len(piece)] = logs[starts + own + 1] - logs[starts]
-        ppl = np.exp2(-bits / (lengths + 1))
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), batch.column(2), pa.array(lengths), pa.array(ppl, mask=lengths == 0)],
-            names=["id", "lang", "fold", "n_symbols", "perplexity"],
-        )
+            codes, inside, starts = windows(piece)
+            at = pc.index_in(pa.array(codes), value_set=grams).fill_null(len(grams)).to_numpy()
+            if (at[inside] == len(grams)).any():
+                raise RuntimeError("the documents were read in other partitions the second time; write them to a table first")
+            sums = np.concatenate(([0.0], np.cumsum(np.where(inside, bits[at], 0), dtype=np.float64)))
+            mine = lengths[first : first + len(piece)]
+            total[first : first + len(piece)] = sums[starts + mine + 1] - sums[starts]
+        ppl = pa.array(np.exp2(-total / (lengths + 1)), mask=lengths == 0)
+        out.append(pa.table([own["id"].values, own["lang"].values, own["fold"].values, pa.array(lengths), ppl], names=["id", "lang", "fold", "n_symbols", "perplexity"]))
+    return pa.concat_tables(out)
+
+
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """(id, lang, fold, n_symbols, perplexity) of each row, over its whole text and its end. A null or empty text has no
+    symbols and no perplexity. `fold` deals texts, copies alike, into FOLDS parts.
 
+    `docs` is read twice and must fall into the same partitions both times, as files do; it is an error if not.
+    """
     fold = F.pmod(F.xxhash64(text_col), F.lit(FOLDS)).cast("int")
     chosen = docs.select(F.col(id_col).cast("long").alias("id"), F.col(lang_col).alias("lang"), fold.alias("fold"), F.col(text_col).alias("text"))
-    return map_batches(chosen, per_batch, "id long, lang string, fold int, n_symbols long, perplexity double")
+    asked = cut(chosen.mapInArrow(_questions, "chunk string, grams array<long>"), "asked").select("chunk", F.explode("grams").alias("gram"))
+    wanted = cut(asked.select("gram").distinct(), "wanted")
+    bits = probabilities(wanted, model).select("gram", F.log2("p").cast("float").alias("bits"))
+    answers, packed = asked.join(bits, "gram").groupBy("chunk"), chosen.mapInArrow(_packed, _PACKED).groupBy("chunk")
+    return answers.cogroup(packed).applyInArrow(_perplexities, "id long, lang string, fold int, n_symbols long, perplexity double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, least: int = 50, slack: float = 1.1, prior: int = 50, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -179,8 +236,7 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, least:
     side = ids_side(good)
     fold = F.pmod(F.xxhash64(text_col), F.lit(FOLDS))
     text = docs.where(fold > 0).select(F.col(id_col).cast("long").alias("trusted"), F.col(text_col).alias("text")).join(side, "trusted", "left_semi")
-    grams, contexts = train(text)
-    scored = cut(score(docs, lookup_table(grams, contexts), id_col, text_col, lang_col).withColumn("bits", F.log2("perplexity")), "scored")
+    scored = cut(score(docs, train(text), id_col, text_col, lang_col).withColumn("bits", F.log2("perplexity")), "scored")
     held = scored.where("fold = 0 and bits is not null").join(side, F.col("id") == F.col("trusted"), "left_semi")
 
     middle_bits = F.percentile_approx("bits", 0.5, 100_000).alias("own_mid")

@@ -79,41 +79,56 @@ def test_components_without_links(spark):
 # 1 quality
 
 
-def test_ngram_model_sums_to_one_and_matches_brute_force(spark):
+def test_ngram_model_sums_to_one_and_matches_brute_force(spark, monkeypatch):
     rng = random.Random(1)
     texts = [prose(rng, 30) for _ in range(40)] + ["", None]
     counts = {r["gram"]: r["n"] for r in kneser_ney.count_ngrams(spark.createDataFrame([(t,) for t in texts], "text string")).collect()}
     expected = Counter()
     for t in filter(None, texts):
-        classes = [0] * 3 + [int(kneser_ney._BELOW[ord(c)]) for c in t] + [0]
-        for i in range(len(classes) - 3):
-            a, b, c, d = classes[i : i + 4]
-            expected[((a * 64 + b) * 64 + c) * 64 + d] += 1
-    assert counts == expected
-    grams, contexts = kneser_ney.train(spark.createDataFrame([(t,) for t in texts], "text string"))
-    table = np.exp2(kneser_ney.lookup_table(grams, contexts).astype(np.float64)).reshape(-1, 64)
-    assert np.allclose(table.sum(axis=1), 1, atol=1e-3)
-    # one probability by hand, from the definition
+        points = [0, 0, 0, *((0xD800 | ord(c) & 0x7FF) if ord(c) > 0xFFFF else ord(c) for c in t), 0]
+        for i in range(len(points) - 3):
+            expected[tuple(points[i : i + 4])] += 1
+    code = lambda g: int(np.array(sum(x << 16 * i for i, x in enumerate(reversed(g))), dtype=np.uint64).astype(np.int64))
+    assert counts == {code(g): n for g, n in expected.items()}
+    model = kneser_ney.train(spark.createDataFrame([(t,) for t in texts], "text string"))
+    # probabilities by hand, from the definition
     orders = [None, None, None, expected]
     for k in (2, 1, 0):
-        orders[k] = Counter(g % 64 ** (k + 1) for g in orders[k + 1])
+        orders[k] = Counter(g[1:] for g in orders[k + 1])
+    symbols = [g[0] for g in orders[0]]
 
     def p(gram, k):
         if k < 0:
-            return 1 / 64
+            return 1 / (len(symbols) + 1)
         n = Counter(orders[k].values())
         y = n[1] / (n[1] + 2 * n[2])
         d = [0, *(min(max(x, 0.05), top) for x, top in ((1 - 2 * y * n[2] / n[1], 0.95), (2 - 3 * y * n[3] / n[2], 1.9), (3 - 4 * y * n[4] / n[3], 2.85)))]
-        seen = {g: c for g, c in orders[k].items() if g // 64 == gram // 64}
+        seen = {g: c for g, c in orders[k].items() if g[:-1] == gram[:-1]}
         if not seen:
-            return p(gram % 64**k, k - 1)
+            return p(gram[1:], k - 1)
         cost = lambda c: min(d[min(c, 3)], c)
         total = sum(seen.values())
         own = seen.get(gram, 0)
-        return (own - (cost(own) if own else 0)) / total + sum(map(cost, seen.values())) / total * p(gram % 64**k, k - 1)
-
-    for gram in [*list(expected)[:30], 5, 64 * 64 * 20 + 70]:
-        assert table.ravel()[gram] == pytest.approx(p(gram, 3), rel=1e-4)
+        return (own - (cost(own) if own else 0)) / total + sum(map(cost, seen.values())) / total * p(gram[1:], k - 1)
+
+    asked = [*list(expected)[:30], (1, 2, 3, 5), (0, 0, 0, 0x4E00), (0xFFFF, 0x8000, 116, 104)]
+    whole = [(*c, s) for c in ((0, 0, 0), (9, 9, 116), list(expected)[40][:3]) for s in [*symbols, 0x4E00]]  # over all symbols and one unseen
+    wanted = spark.createDataFrame([(code(g),) for g in {*asked, *whole}], "gram long")
+    got = {r["gram"]: r["p"] for r in kneser_ney.probabilities(wanted, model).collect()}
+    for gram in asked:
+        assert got[code(gram)] == pytest.approx(p(gram, 3), rel=1e-6)
+    for i in range(0, len(whole), len(symbols) + 1):
+        assert sum(got[code(g)] for g in whole[i : i + len(symbols) + 1]) == pytest.approx(1, abs=1e-6)
+    monkeypatch.setattr(kneser_ney, "CHUNK_CHARACTERS", 100)
+    again = spark.createDataFrame([(i, t, None) for i, t in enumerate([*texts, "unseen \U0001f600\0 \u4e2d"])], "doc_id long, text string, lang string")
+    for r in kneser_ney.score(again, model).collect():
+        t = [*texts, "unseen \U0001f600\0 \u4e2d"][r["id"]]
+        if not t:
+            assert r["n_symbols"] == 0 and r["perplexity"] is None
+            continue
+        points = [0, 0, 0, *((0xD800 | ord(c) & 0x7FF) if ord(c) > 0xFFFF else ord(c or " ") for c in t.replace("\0", " ")), 0]
+        bits = sum(math.log2(p(tuple(points[i : i + 4]), 3)) for i in range(len(points) - 3))
+        assert r["n_symbols"] == len(t) and r["perplexity"] == pytest.approx(2 ** (-bits / (len(t) + 1)), rel=1e-4)
 
 
 def test_quality_on_held_out_documents(spark):
