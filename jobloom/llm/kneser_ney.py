@@ -31,7 +31,7 @@ FOLDS = 5
 #: Characters after which a chunk ends; the texts of an Arrow batch stay together.
 CHUNK_CHARACTERS = 16_000_000
 #: Characters that are looked up at once.
-AT_ONCE = 1 << 22
+AT_ONCE = 1 << 20
 
 
 class Model(NamedTuple):
