@@ -274,6 +274,17 @@ oracle(
     "SELECT k.skill_key, k.skill_name, k.skill_category, CAST(sum(d.posting_count) AS BIGINT) AS postings FROM skills k LEFT JOIN demand d ON k.skill_key = d.skill_key GROUP BY 1, 2, 3",
     "demand",
 )
+oracle(
+    "skill_list",
+    """SELECT skill_key, skill_name, skill_category, (SELECT CAST(sum(posting_count) AS BIGINT) FROM demand d WHERE d.skill_key = k.skill_key) AS postings
+FROM skills k WHERE skill_name ILIKE '%a%' ORDER BY skill_name, skill_key LIMIT 10 OFFSET 10""",
+    "demand",
+)
+oracle(
+    "read_raw",
+    "SELECT source, count(*) AS postings, count(DISTINCT source_id) AS ids, CAST(max(scraped_at) AS VARCHAR) AS newest, count(*) AS payloads FROM f GROUP BY 1",
+    "f",
+)
 _DAY = "CAST(strptime(CAST(date_posted_key AS VARCHAR), '%Y%m%d') AS DATE)"
 _CAL = f"""SELECT date_posted_key AS date_key, CAST(d AS VARCHAR) AS full_date, isodow(d) AS day_of_week, dayname(d) AS day_name,
   month(d) AS month, monthname(d) AS month_name, quarter(d) AS quarter, year(d) AS year, isodow(d) IN (6, 7) AS is_weekend,
@@ -621,3 +632,21 @@ stops AS (SELECT event_type, min(page_no) AS stop FROM (SELECT DISTINCT event_ty
   WHERE NOT EXISTS (SELECT 1 FROM firsts f WHERE f.event_type = p.event_type AND f.page_no = p.page_no) GROUP BY 1)
 SELECT f.event_type, f.page_no, f.user_id, f.event_id FROM firsts f LEFT JOIN stops s ON f.event_type = s.event_type WHERE s.stop IS NULL OR f.page_no < s.stop""",
 )
+
+
+def _term_steps(term: int) -> str:
+    """Three steps for one search term; ids kept by the terms before it are known."""
+    known = "".join(f" AND NOT EXISTS (SELECT 1 FROM kept{t} k WHERE k.event_type = s.event_type AND k.user_id = s.user_id)" for t in range(term))
+    return f"""
+asked{term} AS (SELECT * FROM seen WHERE third = {term}),
+new{term} AS (SELECT * FROM asked{term} s WHERE true{known} QUALIFY row_number() OVER (PARTITION BY event_type, user_id ORDER BY page_no, event_id) = 1),
+old{term} AS (SELECT event_type, page_no FROM (SELECT event_type, page_no, row_number() OVER (PARTITION BY event_type ORDER BY page_no) AS place
+    FROM (SELECT DISTINCT event_type, page_no FROM asked{term})) WHERE place > 1 EXCEPT SELECT event_type, page_no FROM new{term}),
+kept{term} AS (SELECT * FROM new{term} n WHERE NOT EXISTS (SELECT 1 FROM old{term} o WHERE o.event_type = n.event_type AND o.page_no <= n.page_no))"""
+
+
+oracle(
+    "dedup_run_terms",
+    f"""WITH seen AS (SELECT event_type, hour(ts) // 8 AS third, dayofyear(ts) AS page_no, user_id, event_id FROM events),{",".join(map(_term_steps, range(3)))}
+SELECT * FROM kept0 UNION ALL SELECT * FROM kept1 UNION ALL SELECT * FROM kept2""",
+)

@@ -16,7 +16,7 @@ from jobloom.plans import analytics
 from jobloom.plans.warehouse import build_warehouse, spine
 from jobloom.session import scratch_path
 from jobloom.sources import layers
-from jobloom.sources.raw import latest_per_key, read_seed, upsert_raw
+from jobloom.sources.raw import latest_per_key, read_raw, read_seed, upsert_raw
 from jobloom.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -146,6 +146,23 @@ def _(spark, sf):
     return m.dim_skills.join(used, "skill_key", "left")
 
 
+@query("skill_list")
+def _(spark, sf):
+    """The second page of the skills with an "a" in their names, with their use."""
+    return search.skill_list(QUERIES["dim_skill_usage"](spark, sf), text="a", number=2, size=10).rows
+
+
+@query("read_raw")
+def _(spark, sf):
+    """Postings landed as files by source, then scanned: rows, ids and newest scrape of each source."""
+    path = scratch_path(spark, "landing")
+    fx.raw(spark, sf).write.partitionBy("source").parquet(path)
+    rows = read_raw(spark, path)
+    return rows.groupBy("source").agg(
+        F.count("*").alias("postings"), F.count_distinct("source_id").alias("ids"), F.max("scraped_at").alias("newest"), F.count("raw_data").alias("payloads")
+    )
+
+
 @query("dim_date_usage")
 def _(spark, sf):
     """Every calendar day with its columns and the number of postings, none included."""
@@ -495,3 +512,12 @@ def _(spark, sf):
     events = fx.table(spark, sf, "events")
     seen = events.select("event_type", F.dayofyear("ts").alias("page_no"), "user_id", "event_id")
     return payloads.dedup_run(seen, run=["event_type"], page="page_no", key="user_id")
+
+
+@query("dedup_run_terms")
+def _(spark, sf):
+    """The same with thirds of the day as search terms, asked one after the other."""
+    events = fx.table(spark, sf, "events")
+    third = F.floor(F.hour("ts") / 8).cast("int").alias("third")
+    seen = events.select("event_type", third, F.dayofyear("ts").alias("page_no"), "user_id", "event_id")
+    return payloads.dedup_run(seen, run=["event_type"], page="page_no", key="user_id", term="third", terms=[0, 1, 2])

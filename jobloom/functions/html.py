@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from html.entities import html5
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Character references that occur in text; the ampersand comes last.
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&"))
+#: name -> text of every character reference of HTML, as Python's own table has them, packed for str_to_map.
+_NAMES = "\x01".join(f"{name[:-1]}\x02{text}" for name, text in html5.items() if name.endswith(";"))
+#: Numbers 128 to 159 mean the signs of Windows-1252.
+_WINDOWS = "".join(bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(128, 160))
 
 
 @dataclass(frozen=True)
@@ -54,19 +57,49 @@ def attribute_of(opening: Opening, attribute: str) -> Rule:
     return Rule(rf"(?s)(?={opening.regex})<(\w+)\b[^>]*?\s{attribute}=[\"']([^\"']*)[\"']", opening.hint)
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with `value` evaluated one time, however often `use` mentions it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _sign(number: Column) -> Column:
+    """The character of a code point; the replacement character where there is none."""
+    known = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+    none = (number <= 0) | (number > 0x10FFFF) | number.between(0xD800, 0xDFFF)
+    windows = F.substring(F.lit(_WINDOWS), number.cast("int") - 127, F.lit(1))
+    return F.when(none, "\ufffd").when(number.between(128, 159), windows).otherwise(known)
+
+
+def _resolved(piece: Column) -> Column:
+    """Text that followed an ampersand, with the reference it starts with replaced; other text gets its ampersand back."""
+    number = F.regexp_extract(piece, r"^#(?:0*[0-9]{1,8}(?![0-9])|[xX]0*[0-9A-Fa-f]{1,8}(?![0-9A-Fa-f]))", 0)
+    digits = F.regexp_replace(number, "^#[xX]?", "")
+    value = F.when(number.rlike("^#[xX]"), F.conv(digits, 16, 10)).otherwise(F.conv(digits, 10, 10)).cast("long")
+    name = F.regexp_extract(piece, "^([A-Za-z][A-Za-z0-9]*);", 1)
+    text = F.try_element_at(F.str_to_map(F.lit(_NAMES), F.lit("\x01"), F.lit("\x02")), name)
+    numbered = F.concat(_sign(value), F.regexp_replace(piece, "^#([0-9]+|[xX][0-9A-Fa-f]+);?", ""))
+    named = F.concat(text, F.substring(piece, F.length(name) + 2, F.length(piece)))
+    as_is = F.concat(F.lit("&"), piece)
+    return F.when(number != "", numbered).when(name != "", F.coalesce(named, as_is)).otherwise(as_is)
+
+
 def unescape(col: Column) -> Column:
-    for name, sign in ENTITIES:
-        col = F.replace(col, F.lit(name), F.lit(sign))
-    return col
+    """Character references resolved once each: by number, decimal or hexadecimal, or by name with its semicolon."""
+
+    def resolve(text: Column) -> Column:
+        parts = F.split(text, "&")
+        rest = F.transform(F.slice(parts, F.lit(2), F.size(parts)), _resolved)
+        return F.when(text.contains("&"), F.concat(parts[0], F.array_join(rest, ""))).otherwise(text)
+
+    return _once(col, resolve)
 
 
-_BLANKS = " \t\n\r\f\u000b"
+_BLANKS = " \t\n\r\f\u000b\u00a0"
 
 
 def plain_text(html: Column) -> Column:
     """Tags dropped, references resolved, outer blanks stripped."""
-    marked = unescape(F.regexp_replace(html, r"<[^>]*>", ""))
-    return F.btrim(F.when(html.rlike("[<&]"), marked).otherwise(html), F.lit(_BLANKS))
+    return F.btrim(unescape(F.regexp_replace(html, r"<[^>]*>", "")), F.lit(_BLANKS))
 
 
 def _inner(card: Column, rule: Rule) -> Column:
@@ -107,8 +140,8 @@ def cards(html: Column, layout: CardLayout) -> Column:
         chunks = F.filter(F.split(text, rf"(?s)(?={start.regex})"), lambda c: c.rlike(rf"(?s)^{start.regex}"))
         return F.transform(chunks, lambda c: F.regexp_extract(c, rf"(?s)^(.*?{layout.end})", 1)) if layout.end else chunks
 
-    found = [pieces(s) for s in layout.starts]
-    return F.coalesce(*[F.when(F.size(f) > 0, f) for f in found], F.array().cast("array<string>"))
+    found = [_once(pieces(start), lambda f: F.when(F.size(f) > 0, f)) for start in layout.starts]
+    return F.coalesce(*found, F.array().cast("array<string>"))
 
 
 def _clean(value: Column, name: str, layout: CardLayout) -> Column:
@@ -120,7 +153,8 @@ def card_fields(card: Column, layout: CardLayout) -> Column:
 
     def chosen(name: str, rules: Sequence[Rule]) -> Column:
         values = [_clean(_inner(card, r), name, layout) for r in rules]
-        return F.coalesce(*[F.when(v != "", v) for v in values], _is_there(card, rules[-1])).alias(name)
+        filled = [_once(value, lambda v: F.when(v != "", v)) for value in values]
+        return F.coalesce(*filled, _is_there(card, rules[-1])).alias(name)
 
     return F.struct(*[chosen(n, rules) for n, rules in layout.rules.items()])
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ from jobloom.functions.html import (
     with_fields,
 )
 from jobloom.functions.text import first_group
+from jobloom.session import cut
 
 POSTING_FIELDS = (
     "source_id",
@@ -467,26 +469,54 @@ def first_strategy(
 
 
 def dedup_run(
-    postings: DataFrame, run: Sequence[str] = ("source",), page: str = "page_no", key: str = "source_id"
+    postings: DataFrame,
+    run: Sequence[str] = ("source",),
+    page: str = "page_no",
+    key: str = "source_id",
+    term: str | None = None,
+    terms: Sequence = (),
 ) -> DataFrame:
     """First sighting of each id within a run, up to the first page that shows only known ids.
 
-    Two partial aggregations and joins on small sides: first page per id, new ids per page, stop page per run.
+    With `term`, a run asks for the search terms of the list `terms` one after the other: an id is known across all
+    terms of the run, but each term's pages stop on their own and its first page never stops it. Pages behind a stop
+    are not seen, so their ids are still new to the next term; hence one step per term, each written once.
     """
     run = list(run)
-    value = [page, *[c for c in postings.columns if c not in (*run, key, page)]]
-    first = postings.groupBy(*run, key).agg(F.min(F.struct(*value)).alias("_first"))
-    firsts = first.select(*run, key, "_first.*")
-    pages = postings.select(*run, page).distinct()
-    fresh = firsts.select(*run, page).distinct().withColumn("_fresh", F.lit(True))
+    if term is None:
+        return _until_known(postings, postings, run, page, key)
+    kept: list[DataFrame] = []
+    for value in terms:
+        asked = postings.where(F.col(term) == F.lit(value))
+        fresh = asked
+        if kept:
+            known = reduce(DataFrame.unionByName, kept).select(*[F.col(c).alias(f"_known_{c}") for c in (*run, key)])
+            same = [F.col(c).eqNullSafe(F.col(f"_known_{c}")) for c in (*run, key)]
+            fresh = asked.join(known, reduce(Column.__and__, same), "left_anti")
+        kept.append(cut(_until_known(fresh, asked, run, page, key), "search-term"))
+    return reduce(DataFrame.unionByName, kept) if kept else postings.limit(0)
+
+
+def _until_known(fresh: DataFrame, asked: DataFrame, run: list[str], page: str, key: str) -> DataFrame:
+    """First sightings in `fresh` before the first page of `asked` (the first one aside) that has none.
+
+    Two partial aggregations and joins on small sides: first page per id, new ids per page, stop page per run.
+    """
+    value = [page, *[c for c in fresh.columns if c not in (*run, key, page)]]
+    firsts = fresh.groupBy(*run, key).agg(F.min(F.struct(*value)).alias("_first")).select(*run, key, "_first.*")
+    news = firsts.select(*run, page).distinct().withColumn("_fresh", F.lit(True))
+    lowest = asked.groupBy(*run).agg(F.min(page).alias("_lowest"))
     stops = (
-        pages.join(fresh, [*run, page], "left")
-        .where("_fresh is null")
+        asked.select(*run, page)
+        .distinct()
+        .join(news, [*run, page], "left")
+        .join(lowest, run)
+        .where(F.col("_fresh").isNull() & (F.col(page) > F.col("_lowest")))
         .groupBy(*run)
         .agg(F.min(page).alias("_stop"))
     )
     kept = firsts.join(stops, run, "left").where(F.col("_stop").isNull() | (F.col(page) < F.col("_stop")))
-    return kept.select(*postings.columns)
+    return kept.select(*asked.columns)
 
 
 def page_class(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from jobloom.functions import display, location, salary, text
+from jobloom.functions.html import plain_text
 from jobloom.operators import payloads
 
 PARSED = [
@@ -150,3 +151,20 @@ def test_booleans_dates_and_ids(spark):
         payloads.job_path_id(F.col("h")),
     ).collect()
     assert [tuple(r) for r in out] == [(True, "2026-05-01", "123", None), (False, None, None, None), (None, None, None, "77")]
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("&#8369;25,000 &ndash; &#x20B1;30,000", "₱25,000 – ₱30,000"),
+        ("R&amp;D &amp;lt; &lt;b&gt;", "R&D &lt; <b>"),
+        ("&#128188; &#0; &#xD800; &#99999999; &#150;", "\U0001f4bc \ufffd \ufffd \ufffd –"),
+        ("&nbsp;a&nbsp;b&nbsp;", "a\u00a0b"),
+        ("AT&T & &unknown; &; &#; &#x; 100%&", "AT&T & &unknown; &; &#; &#x; 100%&"),
+        ("&#8369 5 &#0008369;&#8369each", "₱ 5 ₱₱each"),
+        ("", ""),
+        (None, None),
+    ],
+)
+def test_character_references(spark, html, text):
+    assert spark.createDataFrame([(html,)], "h string").select(plain_text(F.col("h"))).first()[0] == text

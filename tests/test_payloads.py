@@ -121,6 +121,19 @@ def test_dedup_run_stops_at_a_page_without_news(spark):
     assert out.columns == df.columns
 
 
+def test_dedup_run_knows_ids_across_terms_but_stops_each_term_alone(spark):
+    seen = [
+        ("one", 1, "a"), ("one", 2, "a"), ("one", 3, "late"),
+        ("two", 1, "a"), ("two", 2, "late"), ("two", 3, "a"), ("two", 4, "lost"),
+        (None, 1, None), ("three", 1, None), ("three", 2, None), ("three", 2, "b"),
+    ]
+    df = spark.createDataFrame([("s", t, p, i) for t, p, i in seen], "source string, term string, page_no int, source_id string")
+    out = payloads.dedup_run(df, term="term", terms=["one", "two", "three"]).collect()
+    kept = {("one", 1, "a"), ("two", 2, "late"), ("three", 1, None), ("three", 2, "b")}
+    assert {(r.term, r.page_no, r.source_id) for r in out} == kept and len(out) == 4
+    assert payloads.dedup_run(df, term="term").count() == 0
+
+
 def test_page_class(spark):
     df = spark.createDataFrame(
         [
