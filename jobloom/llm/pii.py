@@ -220,8 +220,14 @@ def added_spans(text: str, base: list[tuple[int, int, int]], weights: Weights) -
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", documents: int = TRAIN_DOCUMENTS) -> Weights:
-    """Learn from at most `documents` whole documents; what reaches the driver is their tokens' features and labels."""
-    some = docs.select(F.col(text_col).alias("text"), F.xxhash64(id_col).alias("h")).where(F.col("text").rlike("[0-9@]")).orderBy("h", "text").limit(documents)
+    """Learn from at most `documents` whole documents; what reaches the driver is their tokens' features and labels.
+
+    The smallest hashes are chosen without their texts, which then meet at most `documents` hashes by broadcast, so no
+    task gathers candidates' texts from all others. Repeated rows are learned from once.
+    """
+    hashed = docs.select(F.col(text_col).alias("text"), F.xxhash64(id_col).alias("h"), F.xxhash64(text_col).alias("t"))
+    chosen = hashed.where(F.col("text").rlike("[0-9@]")).select("h", "t").orderBy("h", "t").limit(documents).distinct()
+    some = hashed.join(F.broadcast(chosen), ["h", "t"]).dropDuplicates(["h", "t"])
 
     def per_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
         graphs = [graph(t, base_spans(t)) for t in batch.column(0).to_pylist()]
