@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobloom.llm import dac, kneser_ney, lsh, mixing, phrases, pii, sharding, simhash, tool_calls, url_filter
-from jobloom.llm.common import settle, table
-from jobloom.session import scratch_path
+from jobloom.llm import dac, gnat, kneser_ney, lsh, mixing, orchard, phrases, pii, previous_factor, sharding, simhash, tool_calls, url_filter
+from jobloom.llm.common import ids_side, settle, table
+from jobloom.session import cut, scratch_path
 
 SHARDS = 8
 #: Fixed values of the URL rules.
@@ -138,7 +139,41 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_previous_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    settle(spark)
+    left = previous_factor.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return left.select(
+        F.col("id").alias("doc_id"), "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+def op12_orchard_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    settle(spark)
+    found = orchard.cluster(table(spark, sf_dir, "embeddings"))
+    rows = cut(found.rows, "clusters")
+    sums = {r["cluster"]: int(r["total"]) for r in rows.groupBy("cluster").agg(F.sum(F.col("distance").cast("decimal(38,0)")).alias("total")).collect()}
+    digests = [hashlib.sha256(",".join(map(str, c.tolist())).encode()).hexdigest() for c in found.centroids]
+    # One row per centroid: bounded by the parameter, not by the vectors.
+    facts = [(i, sums[i], sum(sums.values()), digests[i]) for i in sorted(sums)]
+    about = spark.createDataFrame(facts, "cluster int, cluster_inertia long, inertia long, centroid_sha256 string")
+    return rows.join(F.broadcast(about), "cluster").select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def op13_gnat_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    settle(spark)
+    found = gnat.compress(table(spark, sf_dir, "embeddings"))
+    rows = cut(found.rows, "codes")
+    errors = rows.groupBy(F.col("label").alias("of")).agg(F.sum("error").alias("label_error"))
+    code = F.array_join(F.transform("code", lambda i: F.lower(F.lpad(F.hex(i), 2, "0"))), "")
+    joined = rows.join(ids_side(errors), F.col("label").eqNullSafe(F.col("of")))
+    return joined.select(F.col("id").alias("vec_id"), code.alias("code"), "error", "label_error", F.lit(gnat.codebooks_digest(found.codebooks)).alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_quality, op2_tokens, op3_tool_calls, op4_urls, op5_shards, op6_near_duplicates, op7_mix, op8_neighbours, op9_contamination, op10_personal_data)
+    for f in (
+        op1_quality, op2_tokens, op3_tool_calls, op4_urls, op5_shards, op6_near_duplicates, op7_mix, op8_neighbours, op9_contamination, op10_personal_data,
+        op11_previous_factors, op12_orchard_clusters, op13_gnat_codes,
+    )
 }
