@@ -379,6 +379,14 @@ def as_writes(events: DataFrame) -> DataFrame:
     )
 
 
+def write_slices(spark: SparkSession, sf_dir: str, n: int) -> list[DataFrame]:
+    """The event writes in n batches of about the same size, one after the other."""
+    writes = event_writes(spark, sf_dir)
+    low, high = writes.agg(F.min("seq"), F.max("seq")).first()
+    part = F.floor((F.col("seq") - F.lit(low)) * n / F.lit(high - low + 1))
+    return [writes.where(part == i) for i in range(n)]
+
+
 def event_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One run per day and event type."""
     events = table(spark, sf_dir, "events")

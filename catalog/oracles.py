@@ -536,11 +536,11 @@ latest AS (SELECT event_type, user_id, {_LAST} FROM events GROUP BY 1, 2)
 SELECT i.raw_id, i.event_type AS source, 'u' || CAST(i.user_id AS VARCHAR) AS source_id, epoch_us(l.ts) AS scraped_us, l.props AS raw_data
 FROM ids i JOIN latest l ON i.event_type = l.event_type AND i.user_id = l.user_id""",
 )
-oracle(
-    "upsert_stream",
-    f"""SELECT row_number() OVER (ORDER BY first_id) AS raw_id, event_type AS source, 'u' || CAST(user_id AS VARCHAR) AS source_id, epoch_us(ts) AS scraped_us, props AS raw_data
-FROM (SELECT event_type, user_id, {_LAST} FROM events GROUP BY 1, 2)""",
-)
+_UPSERTED = f"""SELECT row_number() OVER (ORDER BY first_id) AS raw_id, event_type AS source, 'u' || CAST(user_id AS VARCHAR) AS source_id, epoch_us(ts) AS scraped_us, props AS raw_data
+FROM (SELECT event_type, user_id, {_LAST} FROM events GROUP BY 1, 2)"""
+oracle("upsert_stream", _UPSERTED)
+oracle("upsert_sink", _UPSERTED)
+oracle("upsert_stream_batches", _UPSERTED)
 _RUNS = """SELECT event_type AS source, min(event_id) AS id, min(ts) AS started_at, count(*) FILTER (value > 5) AS records_scraped,
   CASE WHEN day(CAST(ts AS DATE)) % 5 = 0 THEN 'error' ELSE 'success' END AS status FROM events GROUP BY CAST(ts AS DATE), event_type"""
 oracle("run_log", f"SELECT id, source, records_scraped, status, CASE WHEN status = 'error' THEN 1600 END AS error_length FROM ({_RUNS})")

@@ -12,10 +12,11 @@ from catalog import fixtures as fx
 from jobloom.functions import display, salary
 from jobloom.functions.html import CardLayout, Opening, Rule, cards, with_fields
 from jobloom.operators import dims, facts, payloads, quality, search, skills, staging, unify
+from jobloom.operators.positions import dense_key
 from jobloom.plans import analytics
 from jobloom.plans.warehouse import build_warehouse, spine
 from jobloom.session import scratch_path
-from jobloom.sources import layers
+from jobloom.sources import layers, store
 from jobloom.sources.raw import latest_per_key, read_raw, read_seed, upsert_raw
 from jobloom.streaming import ingest
 
@@ -431,6 +432,30 @@ def _(spark, sf):
     return out.select("raw_id", "source", "source_id", F.unix_micros("scraped_at").alias("scraped_us"), "raw_data")
 
 
+@query("upsert_sink")
+def _(spark, sf):
+    """Four batches upserted into a stored table, the second one twice; then the table."""
+    root = scratch_path(spark, "sink")
+    store.create(spark, root, buckets=16)
+    slices = fx.write_slices(spark, sf, 4)
+    for batch in (slices[0], slices[1], slices[1], slices[2], slices[3]):
+        store.upsert(spark, root, batch)
+    return store.read(spark, root).withColumn("scraped_us", F.unix_micros("scraped_at")).drop("scraped_at")
+
+
+@query("upsert_stream_batches")
+def _(spark, sf):
+    """Six files as a stream of six micro-batches, merged by twos; ids as places, since appended ids have gaps."""
+    landing, root, checkpoint = (scratch_path(spark, n) for n in ("landing", "sink", "stream"))
+    for i, batch in enumerate(fx.write_slices(spark, sf, 6)):
+        batch.coalesce(1).write.parquet(f"{landing}/slice={i}")
+    store.create(spark, root, buckets=8)
+    source = spark.readStream.schema(fx.event_writes(spark, sf).schema).option("maxFilesPerTrigger", 1).parquet(f"{landing}/*")
+    ingest.upsert_stream_batches(source, root, checkpoint, fanout=2).awaitTermination()
+    rows = store.read(spark, root).withColumnRenamed("raw_id", "given_id")
+    return dense_key(rows, ["given_id"], "raw_id").withColumn("scraped_us", F.unix_micros("scraped_at")).drop("given_id", "scraped_at")
+
+
 @query("run_log")
 def _(spark, sf):
     path = scratch_path(spark, "runs")

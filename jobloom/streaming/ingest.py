@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from jobloom.operators.positions import dense_key
 from jobloom.schemas import RAW
+from jobloom.sources import store
 from jobloom.sources.raw import latest_per_key
 
 STORED = T.StructType([*RAW.fields, T.StructField("batch", T.LongType())])
@@ -57,3 +58,13 @@ def upsert_stream(source: DataFrame, target: str, checkpoint: str, order: str =
         .trigger(availableNow=True)
         .start()
     )
+
+
+def upsert_stream_batches(source: DataFrame, root: str, checkpoint: str, stream: str = "ingest", order: str = "seq", fanout: int = store.FANOUT) -> StreamingQuery:
+    """Run the stream into a stored table (made by `store.create`): each micro-batch is one `store.append`, with the merges
+    it sets off. The batch number is kept in the table, so a micro-batch that is repeated after a failure adds nothing."""
+
+    def add(batch: DataFrame, number: int) -> None:
+        store.append(batch.sparkSession, root, batch, order, stream, number, fanout)
+
+    return source.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
