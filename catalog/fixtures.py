@@ -230,8 +230,34 @@ def _element(tag: str, attributes: str, text: Column) -> Column:
     return F.when(text.isNotNull(), F.concat(F.lit(f"<{tag} {attributes}>"), _escaped(text), F.lit(f"</{tag}>"))).otherwise("")
 
 
+def _nested(tag: str, attributes: str, text: Column) -> Column:
+    """An element of which every seventh row's holds one of its own name: the same text in more tags."""
+    split_up = F.concat(
+        F.lit(f"<{tag} {attributes}><{tag}>"), _escaped(F.left(text, F.lit(3))), F.lit(f"</{tag}><br/>"), _escaped(F.substring(text, F.lit(4), F.length(text))), F.lit(f"</{tag}>")
+    )
+    return F.when(text.isNotNull() & (F.col("raw_id") % 7 == 3), split_up).otherwise(_element(tag, attributes, text))
+
+
+#: Looks like fields of every site, but lies outside the cards.
+_NO_CARD = (
+    '<aside><!-- <div class="jobpost-cat-box"> --><script>var t = "<div class=\'job_seen_beacon\'>";</script><h3 class="salary">ad</h3>'
+    '<span class="companytitle">Ad Inc</span><div><i class="bi bi-geo-alt"></i> Adtown</div><div><i class="bi bi-file-text"></i> Ad</div><span class="jobinfo">now</span>'
+    '<a data-automation="jobCompany">Ad Inc</a><span data-automation="jobLocation">Adtown</span><span data-automation="jobSalary">ad</span>'
+    '<span data-automation="jobShortDescription">ad</span><span data-automation="jobListingDate">now</span>'
+    '<span data-testid="company-name">Ad Inc</span><span class="companyName">Ad Inc</span><div data-testid="text-location">Adtown</div>'
+    '<div class="salary-snippet-container">ad</div><div data-testid="attribute_snippet_testid">ad</div><span class="date">now</span>'
+    '<dl class="no-gutters"><dd class="col">ad</dd></dl><h4 class="fw-700">Ad <span class="badge">ad</span></h4></aside>'
+)
+
+
+def _among_ads(item: Column) -> Column:
+    return F.concat(F.when(F.col("raw_id") % 25 == 11, F.lit(_NO_CARD)).otherwise(""), item)
+
+
 def _page(cards: DataFrame, name: str) -> DataFrame:
-    html = F.concat(F.lit("<html><body><nav><ul><li><a href='/x'>Menu</a></li></ul></nav>"), "body", F.lit("<footer>end</footer></body></html>"))
+    """A page with a menu before the cards and a sidebar and a footer behind them."""
+    before, behind = "<html><body><nav><ul><li><a href='/x'>Menu</a></li></ul></nav>", f"{_NO_CARD}<footer>{_NO_CARD}</footer></body></html>"
+    html = F.concat(F.lit(before), "body", F.lit(behind))
     return cards.select(F.lit(name).alias("source"), "page_no", html.alias("payload"))
 
 
@@ -240,8 +266,8 @@ def _philjobnet_item() -> Column:
     return F.concat(
         F.lit('<a class="nolink" href="/job-vacancies/job/title-'), r, F.lit('"><div class="jobcard">'),
         _element("h1", 'class="jobtitle"', F.col("title")),
-        _element("h3", 'class="salary"', F.col("salary_raw")),
-        _element("span", 'class="companytitle"', F.col("company")),
+        _nested("h3", 'class="salary"', F.col("salary_raw")),
+        _nested("span", 'class="companytitle"', F.col("company")),
         F.when(F.col("location").isNotNull(), F.concat(F.lit('<div><i class="bi bi-geo-alt"></i> '), _escaped(F.col("location")), F.lit("</div>"))).otherwise(""),
         F.lit('<div><i class="bi bi-mortarboard"></i> '), _escaped(F.col("education_level")), F.lit("</div>"),
         F.when(F.col("employment_type").isNotNull(), F.concat(F.lit('<div><i class="bi bi-file-text"></i> '), _escaped(F.col("employment_type")), F.lit("</div>"))).otherwise(""),
@@ -252,7 +278,7 @@ def _philjobnet_item() -> Column:
 
 @landed
 def philjobnet_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _page(_joined(_numbered(spark, sf_dir), _philjobnet_item(), "\n"), "philjobnet")
+    return _page(_joined(_numbered(spark, sf_dir), _among_ads(_philjobnet_item()), "\n"), "philjobnet")
 
 
 def _jobstreet_item() -> Column:
@@ -267,8 +293,8 @@ def _jobstreet_item() -> Column:
         start,
         link,
         _element("a", 'data-automation="jobCompany"', F.col("company")),
-        _element("span", 'data-automation="jobLocation"', F.col("location")),
-        _element("span", 'data-automation="jobSalary"', F.col("salary_raw")),
+        _nested("span", 'data-automation="jobLocation"', F.col("location")),
+        _nested("span", 'data-automation="jobSalary"', F.col("salary_raw")),
         _element("span", 'data-automation="jobShortDescription"', F.col("description")),
         _element("span", 'data-automation="jobClassification"', F.col("education_level")),
         _element("span", 'data-automation="jobListingDate"', F.col("posted_date")),
@@ -278,7 +304,7 @@ def _jobstreet_item() -> Column:
 
 @landed
 def jobstreet_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _page(_joined(_numbered(spark, sf_dir), _jobstreet_item(), "\n"), "jobstreet")
+    return _page(_joined(_numbered(spark, sf_dir), _among_ads(_jobstreet_item()), "\n"), "jobstreet")
 
 
 def _onlinejobs_item() -> Column:
@@ -302,7 +328,7 @@ def _onlinejobs_item() -> Column:
 
 @landed
 def onlinejobs_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _page(_joined(_numbered(spark, sf_dir), _onlinejobs_item(), "\n"), "onlinejobs")
+    return _page(_joined(_numbered(spark, sf_dir), _among_ads(_onlinejobs_item()), "\n"), "onlinejobs")
 
 
 def _indeed_item() -> Column:
@@ -320,13 +346,13 @@ def _indeed_item() -> Column:
             _escaped(F.col("title")), F.lit("</a></h3>"),
         )
     )
-    company = F.when(p % 2 == 0, _element("span", 'data-testid="company-name"', F.col("company"))).otherwise(
+    company = F.when(p % 2 == 0, _nested("span", 'data-testid="company-name"', F.col("company"))).otherwise(
         _element("span", 'class="old companyName"', F.col("company"))
     )
     place = F.when(p % 2 == 0, _element("div", 'data-testid="text-location"', F.col("location"))).otherwise(
-        _element("div", 'class="css companyLocation-1"', F.col("location"))
+        _nested("div", 'class="css companyLocation-1"', F.col("location"))
     )
-    pay = F.when(r % 3 == 0, _element("div", 'class="salary-snippet-container"', F.col("salary_raw"))).otherwise("")
+    pay = F.when(r % 3 == 0, _nested("div", 'class="salary-snippet-container"', F.col("salary_raw"))).otherwise("")
     kind = _element("div", 'data-testid="attribute_snippet_testid"', F.col("employment_type"))
     day = F.when(p % 2 == 0, _element("span", 'data-testid="myJobsStateDate"', F.col("posted_date"))).otherwise(
         _element("span", 'class="date"', F.col("posted_date"))
@@ -336,7 +362,7 @@ def _indeed_item() -> Column:
 
 @landed
 def indeed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _page(_joined(_numbered(spark, sf_dir), _indeed_item(), "\n"), "indeed")
+    return _page(_joined(_numbered(spark, sf_dir), _among_ads(_indeed_item()), "\n"), "indeed")
 
 
 @landed

@@ -507,8 +507,7 @@ def _(spark, sf):
 
 NAV_LINKS = CardLayout(
     starts=[Opening("li", r"><a\b", "<li><a")],
-    end="</li>",
-    texts={"label": [Rule(r"(?s)<(a)\b[^>]*>(.*?)</a>", "<a")]},
+    texts={"label": [Rule(r"(?s)<(a)\b[^>]*>", "<a", element="a")]},
     attributes={"href": [Rule(r"<(a)\b[^>]*?\shref=[\"']([^\"']*)[\"']", "href")]},
 )
 

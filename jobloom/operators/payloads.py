@@ -24,6 +24,7 @@ from jobloom.functions.html import (
     tag_with_class,
     text_of,
     with_fields,
+    without_element,
 )
 from jobloom.functions.text import first_group
 from jobloom.session import cut
@@ -241,12 +242,11 @@ def _marked(attribute: str, value: str, tag: str = r"\w+") -> Rule:
 
 def _icon_row(icon: str) -> Rule:
     """Inner HTML of the div around an icon."""
-    return Rule(rf"(?s)<(div)\b[^>]*>((?:(?!<div\b|</div>).)*{tag_with_class(icon).regex}.*?)</div>", icon)
+    return Rule(rf"(?s)<(div)\b[^>]*>(?=(?:(?!<div\b|</div>).)*{tag_with_class(icon).regex})", icon, element="div")
 
 
 PHILJOBNET_CARDS = CardLayout(
     starts=[tag_with_class("nolink", "a")],
-    end="</a>",
     texts={
         "title": [_classed("jobtitle")],
         "salary_raw": [_classed("salary")],
@@ -281,15 +281,16 @@ JOBSTREET_CARDS = CardLayout(
     },
 )
 _HEADING = tag_with_class("fw-700", "h4").regex
+_BADGE = tag_with_class("badge", "span")
 _JOB_TITLE = tag_with_class("jobTitle", "h2").regex
 ONLINEJOBS_CARDS = CardLayout(
     starts=[tag_with_class("jobpost-cat-box", "div")],
     texts={
         "badge": [
-            Rule(rf"(?s){_HEADING}(?:(?!</h4>).)*?<(span){tag_with_class('badge', 'span').rest}(.*?)</span>", "badge")
+            Rule(rf"(?s){_HEADING}(?:(?!</h4>).)*?<(span){_BADGE.rest}", "badge", element="span")
         ],
         "salary_raw": [
-            Rule(rf"(?s)<(dl)\b[^>]*\bno-gutters\b[^>]*>.*?{tag_with_class('col', 'dd').regex}(.*?)</dd>", "no-gutters")
+            Rule(rf"(?s)<dl\b[^>]*\bno-gutters\b[^>]*>.*?<(dd){tag_with_class('col', 'dd').rest}", "no-gutters", element="dd")
         ],
     },
     attributes={
@@ -306,9 +307,9 @@ INDEED_CARDS = CardLayout(
     ],
     texts={
         "title": [
-            Rule(rf"(?s){_JOB_TITLE}\s*<a\b[^>]*>(?:(?!</a>).)*?<(span)\b[^>]*\stitle=[^>]*>(.*?)</span>", "jobTitle"),
-            Rule(rf"(?s){_JOB_TITLE}(?:(?!</h2>).)*?<(a)\b[^>]*>(.*?)</a>", "jobTitle"),
-            Rule(r"(?s)<h[23]\b[^>]*>(?:(?!</h[23]>).)*?<(a)\b[^>]*>(.*?)</a>", "<a"),
+            Rule(rf"(?s){_JOB_TITLE}\s*<a\b[^>]*>(?:(?!</a>).)*?<(span)\b[^>]*\stitle=[^>]*>", "jobTitle", element="span"),
+            Rule(rf"(?s){_JOB_TITLE}(?:(?!</h2>).)*?<(a)\b[^>]*>", "jobTitle", element="a"),
+            Rule(r"(?s)<h[23]\b[^>]*>(?:(?!</h[23]>).)*?<(a)\b[^>]*>", "<a", element="a"),
         ],
         "company": [
             _marked("data-testid", "company-name"),
@@ -371,7 +372,7 @@ def jobstreet_posting(card: Column) -> Column:
 
 def onlinejobs_posting(card: Column) -> Column:
     """The badge inside the heading is the employment type and is no part of the title."""
-    title = F.regexp_replace(card["heading"], rf"(?s){tag_with_class('badge', 'span').regex}.*?</span>", "")
+    title = without_element(card["heading"], _BADGE)
     complete = card["heading"].isNotNull() & card["href"].isNotNull()  # an empty heading is a heading
     return _posting(
         source_id=F.when(complete, number_or_hash_id(card["href"], "onlinejobs_")),
@@ -441,8 +442,13 @@ def flatten(payloads: DataFrame, layout: str, keys: Sequence[str] = ("source", "
     if spec.html:
         items = with_fields(items, "_item", spec.html, keys)
         item = {name: F.col(name) for name in spec.html.rules}
-    rows = items.select(*keys, spec.posting(item).alias("_posting")).select(*keys, "_posting.*")
-    return rows.where("source_id is not null")
+    return _with_ids(items, spec.posting(item), keys)
+
+
+def _with_ids(items: DataFrame, posting: Column, keys: Sequence[str]) -> DataFrame:
+    """The postings that have an id. A generator gives them, so that Spark cannot move the filter below and repeat in it all
+    that leads to the id."""
+    return items.select(*keys, F.inline_outer(F.array(posting))).where("source_id is not null")
 
 
 def first_strategy(
@@ -451,7 +457,8 @@ def first_strategy(
     """Per page, the postings of the first strategy that yields any.
 
     strategies: (payload column, layout) in order of trust. All are tried inside the page's row, in steps: a later
-    one is only evaluated where the earlier ones came out empty.
+    one is only evaluated where the earlier ones came out empty. Cards that are the last resort leave the row before
+    their fields are taken out, next to the postings of the other pages.
     """
 
     def postings(column: str, layout: str) -> Column:
@@ -461,11 +468,23 @@ def first_strategy(
             parts = F.transform(parts, lambda card: card_fields(card, spec.html))
         return F.filter(F.transform(parts, spec.posting), lambda p: p["source_id"].isNotNull())
 
+    *first, (column, layout) = strategies
+    spec = LAYOUTS[layout]
+    if not spec.html or not first:
+        first, spec = list(strategies), None
     step = pages
-    for place, (column, layout) in enumerate(strategies):
-        found = postings(column, layout)
+    for place, strategy in enumerate(first):
+        found = postings(*strategy)
         step = step.withColumn("_jobs", F.when(F.size("_jobs") > 0, F.col("_jobs")).otherwise(found) if place else found)
-    return step.select(*keys, F.inline_outer("_jobs")).where("source_id is not null")
+    if spec is None:
+        return step.select(*keys, F.inline_outer("_jobs")).where("source_id is not null")
+    of_jobs = F.transform("_jobs", lambda j: F.struct(j.alias("_job"), F.lit(None).cast("string").alias("_card")))
+    no_job = F.get("_jobs", F.lit(-1))
+    of_cards = F.transform(spec.items(F.col(column)), lambda c: F.struct(no_job.alias("_job"), c.alias("_card")))
+    items = step.select(*keys, F.inline_outer(F.when(F.size("_jobs") > 0, of_jobs).otherwise(of_cards)))
+    fields = with_fields(items.where("_job is not null or _card is not null"), "_card", spec.html, [*keys, "_job"])
+    posting = F.coalesce("_job", spec.posting({name: F.col(name) for name in spec.html.rules}))
+    return _with_ids(fields, posting, keys)
 
 
 def dedup_run(

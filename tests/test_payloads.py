@@ -153,3 +153,31 @@ def test_payload_is_taken_apart_once(spark):
     df = spark.createDataFrame([("s", 0, "{}")], "source string, page_no int, payload string")
     plan = payloads.flatten(df, "api")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("parseJson") == 1 and "Exchange" not in plan
+
+
+def test_elements_end_where_they_close(spark):
+    """Fields that nest their own tag, cards that nest theirs, and look-alikes outside of cards."""
+    aside = '<aside><!-- <a class="nolink" href="/x-9"> --><script>"<a class=\'nolink\'>"</script><span class="companytitle">Ad</span></aside>'
+    card = '<a class="nolink" href="/job-1"><div><h1 class="jobtitle">A <h1>B</h1> C</h1><span class="companytitle"><span>Acme</span> <SPAN>and</SPAN><span/> Sons</span></div></a>'
+    bare = '<a class="nolink" href="/job-2"><h1 class="jobtitle">D</h1></a>'
+    a, b = flat(spark, "philjobnet_html", aside + card + aside + bare + aside)
+    assert (a.title, a.company, b.title, b.company) == ("A B C", "Acme and Sons", "D", None)
+
+    inner = '<div class="job_seen_beacon"><div><div><h2 class="jobTitle"><a data-jk="1" href="/v"><span title="t">T</span></a></h2></div></div></div>'
+    (c,) = flat(spark, "indeed_html", f'{inner}<footer><span data-testid="company-name">Footer</span></footer>')
+    assert (c.source_id, c.title, c.company) == ("indeed_1", "T", None)
+    never = '<div class="job_seen_beacon"><h2 class="jobTitle"><a data-jk="2" href="/v"><span title="t">U</span></a></h2><span data-testid="company-name">Open'
+    (d,) = flat(spark, "indeed_html", never + "</span>")  # a card that is not closed goes on to the end
+    assert (d.title, d.company) == ("U", "Open")
+
+    badge = '<div class="jobpost-cat-box"><a href="/jobseekers/job/x-5"><h4 class="fw-700">Dev <span class="badge">Full <span>Time</span> now</span></h4></a></div>'
+    (e,) = flat(spark, "onlinejobs_html", badge)
+    assert (e.title, e.employment_type) == ("Dev", "Full Time now")
+
+
+def test_plans_of_cards_stay_small(spark):
+    """One copy of the table of names, and no filter that repeats what leads to the id."""
+    df = spark.range(1).selectExpr("'s' AS source", "1 AS page_no", "cast(id AS string) AS payload")
+    for layout in ("philjobnet_html", "jobstreet_html", "onlinejobs_html", "indeed_html"):
+        plan = payloads.flatten(df, layout)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("CounterClockwiseContourIntegral") <= 2 and plan.count("regexp_extract") < 100 and len(plan) < 150_000
