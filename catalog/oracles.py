@@ -426,6 +426,13 @@ oracle("search_text", f"{_LIST} WHERE {_term('developer')} AND {_term('python')}
 oracle("search_page_3", f"{_LIST} {_DEFAULT_ORDER} LIMIT 25 OFFSET 50", "listed")
 oracle("search_by_salary", f"{_LIST} ORDER BY salary_max DESC NULLS FIRST, company_name ASC NULLS LAST, job_key LIMIT 50 OFFSET 50", "listed")
 oracle("search_by_salary_up", f"{_LIST} ORDER BY salary_min ASC NULLS LAST, job_key LIMIT 50", "listed")
+_BY_COMPANY = "ORDER BY company_name ASC NULLS LAST"
+oracle("search_by_company", f"{_LIST} {_BY_COMPANY}, job_key LIMIT 40 OFFSET 80", "listed")
+oracle("search_by_company_down", f"{_LIST} WHERE {_term('engineer')} ORDER BY company_name DESC NULLS FIRST, salary_min ASC NULLS LAST, job_key LIMIT 60", "listed")
+oracle("search_by_salary_min_down", f"{_LIST} WHERE city ILIKE '%makati%' ORDER BY salary_min DESC NULLS FIRST, job_key LIMIT 30 OFFSET 30", "listed")
+oracle("search_after_date", f"{_LIST} {_DEFAULT_ORDER} LIMIT 25 OFFSET 50", "listed")
+oracle("search_after_salary", f"{_LIST} ORDER BY salary_max DESC NULLS FIRST, company_name ASC NULLS LAST, job_key LIMIT 300 OFFSET 300", "listed")
+oracle("search_after_company", f"{_LIST} WHERE source = 'kalibrr' {_BY_COMPANY}, salary_min DESC NULLS FIRST, job_key LIMIT 40 OFFSET 80", "listed")
 oracle("search_total", f"SELECT count(*) AS total FROM listed WHERE {_term('engineer')}", "listed")
 oracle("page_after", f"{_LIST} WHERE date_posted_key < 20290101 OR (date_posted_key = 20290101 AND job_key > 0) {_DEFAULT_ORDER} LIMIT 40", "listed")
 oracle("job_list", _LIST, "listed")

@@ -322,6 +322,30 @@ query("search_by_salary")(_search(order="-salary_max,company_name", number=2, si
 query("search_by_salary_up")(_search(order="salary_min", size=50))
 
 
+query("search_by_company")(_search(order="company_name", number=3, size=40))
+query("search_by_company_down")(_search(order="-company_name,salary_min", text="engineer", size=60))
+query("search_by_salary_min_down")(_search(order="-salary_min", number=2, size=30, city="makati"))
+
+
+def _search_after(order: str, size: int, pages: int, **facets) -> Query:
+    """The page behind `pages` others, each reached by the token of the one before."""
+
+    def run(spark, sf):
+        m = fx.marts(spark, sf)
+        token, keys = None, search.order_keys(order, search.JOB_ORDER, [])
+        for _ in range(pages):
+            rows = search.search_jobs(m.fct_job_postings, m.dim_companies, m.dim_locations, order=order, size=size, after=token, **facets).rows
+            token = search.page_token(rows.collect()[-1], keys, "job_key")
+        return search.search_jobs(m.fct_job_postings, m.dim_companies, m.dim_locations, order=order, size=size, after=token, **facets).rows
+
+    return run
+
+
+query("search_after_date")(_search_after("-date_posted_key", 25, 2))
+query("search_after_salary")(_search_after("-salary_max,company_name", 300, 1))
+query("search_after_company")(_search_after("company_name,-salary_min", 40, 2, source="kalibrr"))
+
+
 @query("search_total")
 def _(spark, sf):
     m = fx.marts(spark, sf)

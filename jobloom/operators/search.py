@@ -1,9 +1,16 @@
-"""Facet filters, text search, ordering and paging over the marts."""
+"""Facet filters, text search, ordering and paging over the marts.
+
+Filters and order are settled on the fact; names and places are joined to the rows of the page only.
+"""
 
 from __future__ import annotations
 
+import base64
+import json
 import re
 from collections.abc import Sequence
+from datetime import date, datetime
+from decimal import Decimal
 from functools import reduce
 from typing import NamedTuple
 
@@ -82,17 +89,52 @@ def search(df: DataFrame, text: str | None, columns: Sequence[str]) -> DataFrame
     return df
 
 
+def order_keys(spec: str | None, allowed: Sequence[str], default: Sequence[str]) -> list[str]:
+    """The names of 'a,-b' that are allowed; none left means the default."""
+    asked = [s.strip() for s in (spec or "").split(",")]
+    return [k for k in asked if k.lstrip("-") in allowed] or list(default)
+
+
 def ordering(spec: str | None, allowed: Sequence[str], default: Sequence[str], tie: str) -> list[Column]:
     """Sort columns from 'a,-b'; names off the list are ignored, none left means the default.
 
     Descending puts NULLs first and ascending puts them last; `tie` makes the order total.
     """
-    asked = [s.strip() for s in (spec or "").split(",")]
-    keys = [k for k in asked if k.lstrip("-") in allowed] or list(default)
+    keys = order_keys(spec, allowed, default)
     columns = [F.desc_nulls_first(k[1:]) if k.startswith("-") else F.asc_nulls_last(k) for k in keys]
     return [*columns, F.asc(tie)]
 
 
+def _plain(value):
+    return value.isoformat() if isinstance(value, (date, datetime)) else str(value) if isinstance(value, Decimal) else value
+
+
+def page_token(row, keys: Sequence[str], tie: str) -> str:
+    """Where a page ended: the order's values and the tie of its last row, as text for a link."""
+    values = [_plain(row[k.lstrip("-")]) for k in keys]
+    return base64.urlsafe_b64encode(json.dumps([list(keys), values, row[tie]]).encode()).decode()
+
+
+def after_token(df: DataFrame, token: str, keys: Sequence[str], tie: str) -> Column:
+    """Condition on the rows behind a token in the order of `keys`; a token of another order is an error."""
+    try:
+        known, values, last = json.loads(base64.urlsafe_b64decode(token.encode()))
+    except ValueError as error:
+        raise ValueError("not a page token") from error
+    if known != list(keys):
+        raise ValueError(f"the token is for the order {known}")
+    behind = F.col(tie) > F.lit(last)
+    for key, value in reversed(list(zip(keys, values))):
+        column = F.col(key.lstrip("-"))
+        at = F.lit(value).cast(df.schema[key.lstrip("-")].dataType)
+        if key.startswith("-"):  # NULLs come first
+            past = column.isNotNull() if value is None else column < at
+        else:  # NULLs come last
+            past = F.lit(False) if value is None else column.isNull() | (column > at)
+        behind = F.coalesce(past, F.lit(False)) | (column.eqNullSafe(at) & behind)
+    return behind
+
+
 def _checked(number: int, size: int, max_size: int | None) -> None:
     if number < 1 or size < 1:
         raise ValueError(f"page {number} of size {size}: both start at 1")
@@ -131,6 +173,40 @@ def job_list(fact: DataFrame, companies: DataFrame, locations: DataFrame) -> Dat
     return _with_dims(fact, companies, locations).select(*LIST_COLUMNS)
 
 
+_OF_COMPANY, _OF_PLACE = ("company_name",), ("city", "region")
+
+
+def _hits(fact: DataFrame, companies: DataFrame, locations: DataFrame, text: str | None, facets: dict, keys: Sequence[str]) -> DataFrame:
+    """Rows of the fact that meet all facets and search terms, with company_name if the order needs it.
+
+    Facets of a dimension become semi joins on its key; for a text search a company says which terms its name contains. So
+    at most a key and a few flags of a dimension meet the fact, and nothing of it where only the fact is asked.
+    """
+    own = {n: v for n, v in facets.items() if n not in (*_OF_COMPANY, *_OF_PLACE)}
+    hits = filter_jobs(fact, **own)
+    for dim, key, names in ((companies, "company_key", _OF_COMPANY), (locations, "location_key", _OF_PLACE)):
+        asked = {n: facets[n] for n in names if facets.get(n) not in (None, "")}
+        if asked:
+            hits = hits.join(filter_jobs(dim, **asked).select(key), key, "left_semi")
+    terms = [t for t in re.split(r"[\s,]+", text or "") if t]
+    if terms:
+        flags = [contains_ignoring_case("company_name", t).alias(f"_term_{i}") for i, t in enumerate(terms)]
+        named = companies.select(F.col("company_key").alias("_company"), *flags).where(" or ".join(f"_term_{i}" for i in range(len(terms))))
+        hits = hits.join(named, hits["company_key"] == named["_company"], "left")
+        for i, term in enumerate(terms):
+            here = contains_ignoring_case("title", term) | contains_ignoring_case("description", term)
+            hits = hits.where(F.coalesce(F.col(f"_term_{i}"), F.lit(False)) | here)
+        hits = hits.select(*fact.columns)
+    if "company_name" in [k.lstrip("-") for k in keys]:
+        hits = hits.join(companies.select("company_key", "company_name"), "company_key", "left")
+    return hits
+
+
+def _listed(page_rows: DataFrame, companies: DataFrame, locations: DataFrame) -> DataFrame:
+    """The list columns of a page, joined after it was cut."""
+    return _with_dims(page_rows.drop("company_name"), companies, locations).select(*LIST_COLUMNS)
+
+
 def search_jobs(
     fact: DataFrame,
     companies: DataFrame,
@@ -139,12 +215,24 @@ def search_jobs(
     order: str | None = None,
     number: int = 1,
     size: int = PAGE_SIZE,
+    after: str | None = None,
     **facets,
 ) -> Page:
-    """Facets, then text search, then order and page, over the joined list columns."""
-    joined = _with_dims(fact, companies, locations)
-    hits = search(filter_jobs(joined, **facets), text, JOB_SEARCH).select(*LIST_COLUMNS)
-    return page(hits, ordering(order, JOB_ORDER, ["-date_posted_key"], "job_key"), number, size)
+    """Facets, then text search, then order and page; list columns are joined to the page.
+
+    `number` counts pages and sorts all before it as well; `after`, a token of `page_token` for the last row seen, goes on
+    behind that row in any order, at the cost of a first page.
+    """
+    keys = order_keys(order, JOB_ORDER, ["-date_posted_key"])
+    hits = _hits(fact, companies, locations, text, facets, keys)
+    slim = hits.select(*dict.fromkeys([*[k.lstrip("-") for k in keys], *[c for c in (*LIST_COLUMNS, "company_key", "location_key") if c in fact.columns]]))
+    total = hits.agg(F.count("*").alias("total"))
+    if after is not None:
+        slim, number = slim.where(after_token(slim, after, keys, "job_key")), 1
+    by = ordering(order, JOB_ORDER, ["-date_posted_key"], "job_key")
+    rows = _listed(page(slim, by, number, size).rows, companies, locations)
+    # Not orderBy: the planner may take a page that was shuffled for its joins for still being in order, and drop the sort.
+    return Page(rows.repartition(1).sortWithinPartitions(*by), total)
 
 
 def job_detail(fact: DataFrame, companies: DataFrame, locations: DataFrame, job_key: int) -> DataFrame:
