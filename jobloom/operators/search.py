@@ -14,7 +14,7 @@ from decimal import Decimal
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 PAGE_SIZE = 25
@@ -202,11 +202,6 @@ def _hits(fact: DataFrame, companies: DataFrame, locations: DataFrame, text: str
     return hits
 
 
-def _listed(page_rows: DataFrame, companies: DataFrame, locations: DataFrame) -> DataFrame:
-    """The list columns of a page, joined after it was cut."""
-    return _with_dims(page_rows.drop("company_name"), companies, locations).select(*LIST_COLUMNS)
-
-
 def search_jobs(
     fact: DataFrame,
     companies: DataFrame,
@@ -230,9 +225,11 @@ def search_jobs(
     if after is not None:
         slim, number = slim.where(after_token(slim, after, keys, "job_key")), 1
     by = ordering(order, JOB_ORDER, ["-date_posted_key"], "job_key")
-    rows = _listed(page(slim, by, number, size).rows, companies, locations)
-    # Not orderBy: the planner may take a page that was shuffled for its joins for still being in order, and drop the sort.
-    return Page(rows.repartition(1).sortWithinPartitions(*by), total)
+    # The page's joins may shuffle it while the planner goes on to believe in its order and drops a sort by the same columns;
+    # so its rows are numbered first.
+    numbered = page(slim, by, number, size).rows.withColumn("_place", F.row_number().over(Window.orderBy(*by)))
+    rows = _with_dims(numbered.drop("company_name"), companies, locations).repartition(1).sortWithinPartitions("_place")
+    return Page(rows.select(*LIST_COLUMNS), total)
 
 
 def job_detail(fact: DataFrame, companies: DataFrame, locations: DataFrame, job_key: int) -> DataFrame:
