@@ -1,12 +1,14 @@
 """The corpus pipeline: documents to shards, in five stages.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the next
-one's docs. All but the last return the columns of `docs`. Rows without a doc_id are told apart by their content; rows
-that share a doc_id share the strictest verdict given to any of them. Empty input gives empty output.
+one's docs. All but the last return the columns of `docs`. Stages that drop rows judge each row by itself, told apart by
+its place in the files, so rows that share a doc_id or have none can fare differently. Empty input gives empty output.
 """
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,12 +18,19 @@ from jobloom.llm.queries import SHARDS
 from jobloom.session import cut, scratch_path
 
 ID = "_row_id"
-#: Words of a shingle; the fingerprints of two texts that share four in five shingles differ in few bits.
-STAGE_SHINGLE = 5
 
 
-def _with_id(docs: DataFrame) -> DataFrame:
-    return docs.withColumn(ID, row_id("doc_id", "text", "lang", "source"))
+def _begin(spark: SparkSession) -> None:
+    """Settings, and the end of what earlier stages left in the driver: plans, and the broadcasts and shuffle files that
+    Spark keeps as long as a plan refers to them."""
+    settle(spark)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """docs with a number of its own for each row, the same at each reading of the files."""
+    return docs.withColumn(ID, F.monotonically_increasing_id())
 
 
 def _without(docs: DataFrame, bad: DataFrame) -> DataFrame:
@@ -31,35 +40,35 @@ def _without(docs: DataFrame, bad: DataFrame) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep what the classifier keeps; null and empty texts go."""
-    settle(spark)
-    known = _with_id(docs)
-    judged = kneser_ney.classify(known, table(spark, sf_dir, "labels"), id_col=ID)
+    _begin(spark)
+    known = _numbered(docs)
+    labels = table(spark, sf_dir, "labels").join(known.select("doc_id", ID), "doc_id").select(F.col(ID).alias("doc_id"), "quality", "toxic")
+    judged = kneser_ney.classify(known, cut(labels, "labels"), id_col=ID)
     return _without(known, judged.where("not keep").withColumnRenamed("id", ID)).select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group of near copies, once."""
-    settle(spark)
-    known = _with_id(docs)
-    found = cut(simhash.near_duplicates(known, id_col=ID, words=STAGE_SHINGLE).withColumnRenamed("id", ID), "classes")
-    twice = found.groupBy(ID).agg(F.count("*").alias("n")).where("n > 1").select(ID)
-    kept = _without(known, found.where(F.col(ID) != F.col("component_id")))
-    first = kept.join(ids_side(twice), ID, "left_semi").dropDuplicates([ID])
-    return _without(kept, twice).unionByName(first).select(docs.columns)
+    """Keep one row of each group of near copies: that of the smallest doc_id (nulls last), then by content."""
+    _begin(spark)
+    known = _numbered(docs)
+    found = cut(simhash.near_duplicates(known, id_col=ID).select(F.col("id").alias(ID), "component_id"), "classes")
+    rank = known.select(ID, F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text", "lang", "source"), F.col(ID)).alias("rank"))
+    first = found.join(rank, ID).groupBy("component_id").agg(F.min_by(ID, "rank").alias(ID))
+    return _without(known, found.join(first.select(ID), ID, "left_anti")).select(docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents in which a window of a benchmark item occurs."""
-    settle(spark)
-    known = _with_id(docs)
+    _begin(spark)
+    known = _numbered(docs)
     found = phrases.contamination(known, table(spark, sf_dir, "benchmark"), id_col=ID)
     return _without(known, found.where("contaminated").select(F.col("doc_id").alias(ID))).select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix uses it, in the order of training. A last use in part counts as whole from half on."""
-    settle(spark)
-    known = _with_id(docs)
+    _begin(spark)
+    known = docs.withColumn(ID, row_id("doc_id", "text", "lang", "source"))
     plan = mixing.plan(known, id_col=ID)
     uses = plan.select("id", F.filter("uses", lambda u: 2 * u["take"] >= F.col("size")).alias("uses")).groupBy("id").agg(F.max("uses").alias("uses"))
     used = known.join(uses.withColumnRenamed("id", ID), ID).withColumn("_use", F.explode("uses"))
@@ -68,7 +77,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """docs with their virtual slot and shard, by a map rebalanced for bytes."""
-    settle(spark)
+    _begin(spark)
     rows = sharding.slotted(docs)
     loads = cut(sharding.slot_loads(rows), "loads")
     root = scratch_path(spark, "slot-map")
