@@ -33,7 +33,7 @@ def query(name: str) -> Callable[[Query], Query]:
     return register
 
 
-# --- staging, union, dedup ------------------------------------------------------------------------------------------
+# Staging, union, dedup
 
 for _source in staging.SPECS:
     query(f"stage_{_source}")(lambda spark, sf, source=_source: staging.stage(fx.raw(spark, sf), source))
@@ -67,7 +67,7 @@ def _(spark, sf):
     return events.groupBy("event_type").agg(F.sum(k).alias("k_sum"), F.count(k).alias("k_rows"))
 
 
-# --- salaries -------------------------------------------------------------------------------------------------------
+# Salaries
 
 
 @query("salary_parse")
@@ -94,7 +94,7 @@ def _(spark, sf):
     return parsed.select("raw_id", *[F.round(monthly[n], 2).alias(f"monthly_{n}") for n in ("min", "max")])
 
 
-# --- skills ---------------------------------------------------------------------------------------------------------
+# Skills
 
 
 @query("skill_match")
@@ -126,7 +126,7 @@ def _(spark, sf):
     return facts.build_job_skills(spine(fx.raw(spark, sf)), seed, dims.build_dim_skills(seed))
 
 
-# --- dimensions and facts -------------------------------------------------------------------------------------------
+# Dimensions and facts
 
 
 @query("dim_company")
@@ -237,7 +237,7 @@ def _(spark, sf):
     return out
 
 
-# --- analytics ------------------------------------------------------------------------------------------------------
+# Analytics
 
 query("dashboard_summary")(lambda spark, sf: analytics.dashboard_summary(fx.marts(spark, sf).fct_job_postings))
 query("salary_by_experience")(lambda spark, sf: analytics.salary_by_experience(fx.marts(spark, sf).fct_job_postings))
@@ -301,7 +301,7 @@ def _(spark, sf):
     return out.select("skill_name", "skill_category", "demand", *means)
 
 
-# --- search ---------------------------------------------------------------------------------------------------------
+# Search
 
 
 def _search(**params) -> Query:
@@ -386,7 +386,7 @@ def _(spark, sf):
     return search.skill_demand_list(m.fct_skill_demand, m.dim_skills)
 
 
-# --- labels ---------------------------------------------------------------------------------------------------------
+# Labels
 
 
 @query("label_postings")
@@ -408,7 +408,7 @@ def _(spark, sf):
     return rows.select("source", display.peso_label(F.col("avg_salary_min")).alias("money_label"))
 
 
-# --- quality --------------------------------------------------------------------------------------------------------
+# Quality
 
 
 @query("dq_warehouse")
@@ -429,7 +429,7 @@ def _(spark, sf):
     return stored.select(*quality.RESULT)
 
 
-# --- upsert, streaming, run log -------------------------------------------------------------------------------------
+# Upsert, streaming, run log
 
 FIRST_BATCH_END = "2024-01-04"
 
@@ -494,7 +494,7 @@ def _(spark, sf):
     return health.withColumn("last_started_at", F.unix_micros("last_started_at"))
 
 
-# --- payloads -------------------------------------------------------------------------------------------------------
+# Payloads
 
 SHOWN = ("title", "company", "location", "salary_raw", "description", "employment_type", "posted_date", "url")
 

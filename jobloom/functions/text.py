@@ -55,3 +55,9 @@ def iso_day(col: Column) -> Column:
 def date_key(day: Column) -> Column:
     """Integer YYYYMMDD of a date."""
     return (F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)).cast("int")
+
+
+def key_date(key: Column) -> Column:
+    """The date of an integer YYYYMMDD, of any year; the inverse of date_key."""
+    part = lambda divisor, modulus: F.pmod(F.floor(key / divisor), F.lit(modulus)).cast("int")
+    return F.make_date(part(10000, 10000), part(100, 100), part(1, 100))

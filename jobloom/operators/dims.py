@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobloom.functions.location import looks_remote, map_city
-from jobloom.functions.text import date_key, fold, not_blank, slug
+from jobloom.functions.text import date_key, fold, key_date, not_blank, slug
 from jobloom.operators.positions import dense_key
 
 # First and last day that the calendar has at least.
 CALENDAR_START = "2024-01-01"
 CALENDAR_END = "2027-12-31"
+#: Years of which a calendar is without gaps.
+CALENDAR_YEARS = (1970, 2100)
 
 
 def build_dim_companies(deduped: DataFrame) -> DataFrame:
@@ -72,16 +74,29 @@ def build_dim_skills(dictionary: DataFrame) -> DataFrame:
     return dense_key(grouped, ["skill_name"], "skill_key", bounded=True)
 
 
+def _posted(postings: DataFrame) -> DataFrame:
+    return postings.select(key_date(F.col("date_posted_key")).alias("full_date")).where("full_date is not null")
+
+
 def calendar_span(postings: DataFrame) -> tuple[str, str]:
-    """First and last day of a calendar that covers all posted days; two numbers reach the driver."""
-    first, last = postings.agg(F.min("date_posted_key"), F.max("date_posted_key")).first()
-    days = [f"{str(d)[:4]}-{str(d)[4:6]}-{str(d)[6:]}" for d in (first, last) if d is not None]
-    return min([CALENDAR_START, *days]), max([CALENDAR_END, *days])
+    """First and last day of a calendar that covers all posted days of the years CALENDAR_YEARS, as dates; two values reach
+    the driver. One posting with an impossible year does not make a calendar of millions of days: see `stray_days`."""
+    near = _posted(postings).where(F.year("full_date").between(*CALENDAR_YEARS))
+    first, last = near.agg(F.min("full_date").cast("string"), F.max("full_date").cast("string")).first()
+    return min([CALENDAR_START, *([first] if first else [])]), max([CALENDAR_END, *([last] if last else [])])
+
+
+def stray_days(postings: DataFrame) -> DataFrame:
+    """(full_date): posted days outside of CALENDAR_YEARS, which the calendar has one by one and a check reports."""
+    return _posted(postings).where(~F.year("full_date").between(*CALENDAR_YEARS)).distinct()
 
 
-def build_dim_date(spark: SparkSession, start: str = CALENDAR_START, end: str = CALENDAR_END) -> DataFrame:
-    """One row per day, with the extra columns the readers of the calendar expect."""
+def build_dim_date(spark: SparkSession, start: str = CALENDAR_START, end: str = CALENDAR_END, more: DataFrame | None = None) -> DataFrame:
+    """One row per day from `start` to `end`, and per day of `more` (full_date) outside of these, with the extra columns the
+    readers of the calendar expect."""
     days = spark.range(1).select(F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))).alias("full_date"))
+    if more is not None:
+        days = days.unionByName(more.where(~F.col("full_date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))))
     day = F.col("full_date")
     weekday = F.weekday(day) + 1
     return days.select(

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 KNOWN_SOURCES = ("philjobnet", "kalibrr", "jobstreet", "onlinejobs", "indeed", "facebook")
 KNOWN_CURRENCIES = ("PHP", "USD")
 SALARY_RANGE = (0, 10_000_000)
+DATE_KEYS = (19700101, 21001231)
 FRESH_DAYS = 7
 
 RESULT = ("table", "column", "check", "failed_rows", "passed")
@@ -160,6 +161,7 @@ def postings_suite(min_rows: int = 1000) -> list[Check]:
         accepted_values("salary_currency", KNOWN_CURRENCIES),
         accepted_range("salary_min", *SALARY_RANGE),
         accepted_range("salary_max", *SALARY_RANGE),
+        accepted_range("date_posted_key", *DATE_KEYS),
         ordered("salary_min", "salary_max"),
         relationship("company_key", "dim_companies", "company_key"),
         relationship("location_key", "dim_locations", "location_key"),

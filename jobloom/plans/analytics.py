@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobloom.functions.display import source_label
+from jobloom.functions.text import key_date
 from jobloom.functions.salary import salary_bucket
 from jobloom.operators.search import skill_demand_list
 
@@ -149,8 +150,7 @@ def city_facet(locations: DataFrame) -> DataFrame:
 
 
 def postings_per_week(postings: DataFrame) -> DataFrame:
-    day = F.to_date(F.col("date_posted_key").cast("string"), "yyyyMMdd")
-    week = F.date_trunc("week", day).cast("date").alias("week_start")
+    week = F.date_trunc("week", key_date(F.col("date_posted_key"))).cast("date").alias("week_start")
     return postings.groupBy(week).agg(F.count("*").alias("postings")).orderBy("week_start")
 
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from jobloom import schemas
 from jobloom.session import cut
+from jobloom.sources import versions
 
 # Which folder each layer's tables live in, and how the layer is materialised.
 LAYER_SCHEMAS = {"staging": "staging", "marts": "warehouse"}
@@ -22,8 +26,12 @@ def table_path(root: str, layer: str, name: str) -> str:
     return f"{root.rstrip('/')}/{schema_of(layer)}/{name}"
 
 
-def materialize(df: DataFrame, layer: str, name: str, root: str | None = None) -> DataFrame:
-    """Full refresh of one relation: temp view, plain DataFrame, or parquet table under `root`."""
+def materialize(df: DataFrame, layer: str, name: str, root: str | None = None, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Full refresh of one relation: temp view, plain DataFrame, or a new version of a parquet table under `root`.
+
+    A version is a folder of its own, which readers see once it is whole; those of older versions keep theirs. Rows are
+    laid out by `partition_by`, columns of few values, so that filters on them pick folders.
+    """
     kind = LAYER_KINDS.get(layer, "view")
     if kind == "inline":
         return df
@@ -32,14 +40,37 @@ def materialize(df: DataFrame, layer: str, name: str, root: str | None = None) -
         return df
     if root is None:
         raise ValueError("a table layer needs a root folder")
+    spark, path = df.sparkSession, table_path(root, layer, name)
+    known = versions.load(spark, path)
+    folder = versions.new_folder(path)
+    (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(f"{path}/{folder}")
+    versions.commit(spark, path, known[0] + 1 if known else 0, {"folder": folder, "schema": df.schema.jsonValue()})
+    return read_table(spark, root, layer, name)
+
+
+def read_table(spark: SparkSession, root: str, layer: str, name: str, version: int | None = None) -> DataFrame:
+    """The newest or a given version of a table."""
     path = table_path(root, layer, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = versions.load(spark, path, version)
+    if found is None:
+        raise FileNotFoundError(f"no table at {path}")
+    schema = T.StructType.fromJson(found[1]["schema"])
+    return spark.read.schema(schema).parquet(f"{path}/{found[1]['folder']}").select(*schema.names)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+def drop_old_versions(spark: SparkSession, root: str, layer: str, name: str, keep: int = 2) -> int:
+    """Delete all versions but the newest `keep` with their files, and files of refreshes that broke off; gives the number of
+    folders deleted. Readers of those versions lose their files: run it when they are done."""
+    path = table_path(root, layer, name)
+    known = sorted(versions.numbers(spark, path))
+    kept = known[-max(keep, 1) :]
+    used = {versions.load(spark, path, n)[1]["folder"].split("/")[1] for n in kept}
+    for n in known[: -len(kept)]:
+        versions.delete(spark, f"{path}/{versions.FOLDER}/v{n:012d}.json")
+    unused = [f for f in versions.children(spark, f"{path}/data") if f not in used]
+    for f in unused:
+        versions.delete(spark, f"{path}/data/{f}")
+    return len(unused)
 
 
 def append_snapshot(demand: DataFrame, path: str) -> None:
@@ -51,7 +82,7 @@ def append_snapshot(demand: DataFrame, path: str) -> None:
     spark = demand.sparkSession
     month = F.date_format("snapshot_date", "yyyy-MM").alias("snapshot_month")
     batch = demand.select("*", month)
-    if _exists(spark, path):
+    if versions.exists(spark, path):
         stored = read_snapshots(spark, path, batch)
         touched = [r[0] for r in batch.select("snapshot_month").distinct().collect()]  # one value per month
         kept = stored.where(F.col("snapshot_month").isin(touched)).join(
