@@ -92,7 +92,7 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
-# --- payload pages: every posting, packed as a site would deliver it ------------------------------------------------
+# Payload pages: every posting, packed as a site would deliver it
 
 
 def _numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -387,7 +387,36 @@ def strategy_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# --- landed batches and run logs from events ------------------------------------------------------------------------
+# What damages which rows of the posting fact: column, remainder of job_key by a divisor, and the SQL of the wrong value.
+DAMAGE = (
+    ("title", 11, 3, "NULL"),
+    ("source", 13, 5, "'monster'"),
+    ("source", 53, 2, "NULL"),
+    ("salary_currency", 17, 2, "'EUR'"),
+    ("salary_min", 19, 7, "CAST(-5 AS DOUBLE)"),
+    ("salary_max", 23, 1, "CAST(20000000 AS DOUBLE)"),
+    ("salary_max", 29, 4, "CAST(1 AS DOUBLE)"),
+    ("company_key", 31, 6, "CAST(9000000 AS BIGINT)"),
+    ("location_key", 37, 8, "CAST(9000000 AS BIGINT)"),
+    ("date_posted_key", 41, 9, "CAST(10101 AS BIGINT)"),
+    ("job_key", 43, 0, "CAST(7 AS BIGINT)"),
+    ("job_key", 47, 1, "NULL"),
+)
+
+
+def damaged_sql(column: str) -> str:
+    """SQL, the same for both engines, of a damaged column."""
+    wrong = "".join(f" WHEN job_key % {n} = {rest} THEN {value}" for name, n, rest, value in DAMAGE if name == column)
+    return f"CASE{wrong} ELSE {column} END" if wrong else column
+
+
+def damaged_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The posting fact with rows that fail every check."""
+    fact = marts(spark, sf_dir).fct_job_postings
+    return fact.select(*[F.expr(damaged_sql(c)).alias(c) for c in fact.columns])
+
+
+# Landed batches and run logs from events
 
 
 def event_writes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 import csv
 from importlib.resources import files
 
-from catalog.fixtures import DOCUMENT_TERMS
+from catalog.fixtures import DOCUMENT_TERMS, damaged_sql
 from jobloom.sources.adapter import FIELDS_SQL
 
 ORACLES: dict[str, str] = {}
@@ -315,6 +315,12 @@ oracle(
     "SELECT source, count(*) AS postings, count(DISTINCT source_id) AS ids, CAST(max(scraped_at) AS VARCHAR) AS newest, count(*) AS payloads FROM f GROUP BY 1",
     "f",
 )
+oracle(
+    "read_raw_damaged",
+    """SELECT CASE WHEN raw_id % 50 = 1 OR raw_id % 70 = 3 THEN 'unreadable' WHEN raw_id % 60 = 2 THEN 'incomplete' ELSE source END AS source, count(*) AS rows,
+  max(raw_id) FILTER (raw_id % 50 <> 1 AND raw_id % 70 <> 3 AND raw_id % 60 <> 2) AS last_id FROM f GROUP BY 1""",
+    "f",
+)
 _DAY = "CAST(strptime(CAST(date_posted_key AS VARCHAR), '%Y%m%d') AS DATE)"
 _CAL = f"""SELECT date_posted_key AS date_key, CAST(d AS VARCHAR) AS full_date, isodow(d) AS day_of_week, dayname(d) AS day_name,
   month(d) AS month, monthname(d) AS month_name, quarter(d) AS quarter, year(d) AS year, isodow(d) IN (6, 7) AS is_weekend,
@@ -332,7 +338,7 @@ FROM ({_SPAN}) c LEFT JOIN (SELECT date_posted_key, count(*) AS postings FROM fa
     "fact",
 )
 oracle("fact_posting", "SELECT * FROM fact", "fact")
-oracle("fact_posting_skew_safe", "SELECT job_key, company_key FROM fact", "fact")
+oracle("fact_posting_skew_safe", "SELECT * FROM fact", "fact")
 oracle(
     "fact_skill_demand",
     "SELECT id, CAST(snapshot_date AS VARCHAR) AS snapshot_date, skill_key, source, posting_count, avg_salary_min, avg_salary_max FROM demand",
@@ -557,6 +563,37 @@ _CHECKS = [
     _relation("fct_job_postings", "fact", "location_key", "dim_locations", "locations"),
 ]
 oracle("dq_warehouse", " UNION ALL ".join(_CHECKS + _RAW_CHECKS), "fact", "demand")
+_SPOILT = ("title", "source", "salary_currency", "salary_min", "salary_max", "company_key", "location_key", "date_posted_key", "job_key")
+_DAMAGED = f"(SELECT * REPLACE ({', '.join(f'{damaged_sql(c)} AS {c}' for c in _SPOILT)}) FROM fact)"
+oracle(
+    "dq_damaged",
+    " UNION ALL ".join(c.replace("FROM fact)", f"FROM {_DAMAGED})").replace("greatest(1000 -", "greatest(10000000 -") for c in _CHECKS if "'fct_job_postings'" in c),
+    "fact",
+)
+# Column, kind and condition of the checks that a row decides, in the suite's order.
+_WRONG = (
+    ("job_key", "not_null", "job_key IS NULL"),
+    ("source", "not_null", "source IS NULL"),
+    ("title", "not_null", "title IS NULL"),
+    ("source", "accepted_values", f"source NOT IN {_SITES}"),
+    ("salary_currency", "accepted_values", "salary_currency NOT IN ('PHP', 'USD')"),
+    ("salary_min", "accepted_range", "salary_min NOT BETWEEN 0 AND 10000000"),
+    ("salary_max", "accepted_range", "salary_max NOT BETWEEN 0 AND 10000000"),
+    ("date_posted_key", "accepted_range", "date_posted_key // 10000 NOT BETWEEN 1970 AND 2100"),
+    ("salary_max", "ordered", "salary_max < salary_min"),
+)
+oracle(
+    "dq_offenders",
+    f", d AS {_DAMAGED} "
+    + " UNION ALL ".join(
+        f"""SELECT 'fct_job_postings' AS "table", '{c}' AS "column", '{k}' AS "check", count(*) AS failed_rows, min(job_key) AS first_key, max(job_key) AS last_key FROM d WHERE {w}"""
+        for c, k, w in _WRONG
+    ),
+    "fact",
+)
+_REASONS = "concat_ws(',', " + ", ".join(f"CASE WHEN {w} THEN '{c}:{k}' END" for c, k, w in _WRONG) + ")"
+oracle("dq_quarantine", f"SELECT reasons, count(*) AS rows, min(source_id) AS least_id FROM (SELECT source_id, {_REASONS} AS reasons FROM {_DAMAGED}) GROUP BY reasons", "fact")
+oracle("dq_salary_range_damaged", f"SELECT job_key, salary_min, salary_max FROM {_DAMAGED} WHERE salary_max < salary_min", "fact")
 oracle("dq_salary_range", "SELECT job_key, salary_min, salary_max FROM fact WHERE salary_max < salary_min", "fact")
 oracle("dq_stored_results", " UNION ALL ".join(_RAW_CHECKS), "f")
 

@@ -17,7 +17,7 @@ from jobloom.plans import analytics
 from jobloom.plans.warehouse import build_warehouse, spine
 from jobloom.session import scratch_path
 from jobloom.sources import layers, store
-from jobloom.sources.raw import latest_per_key, read_raw, read_seed, upsert_raw
+from jobloom.sources.raw import latest_per_key, read_raw, read_raw_json, read_seed, upsert_raw
 from jobloom.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -164,6 +164,19 @@ def _(spark, sf):
     )
 
 
+@query("read_raw_damaged")
+def _(spark, sf):
+    """Landed JSON lines, some cut off, some with a text for a number, some without a source: how many are read or kept aside."""
+    path, r = scratch_path(spark, "lines"), F.col("raw_id")
+    line = F.to_json(F.struct(F.when(r % 60 != 2, F.col("source")).alias("source"), "source_id", "scraped_at", "raw_data", r.alias("raw_id")))
+    worse = F.when(r % 50 == 1, F.left(line, F.lit(30))).when(r % 70 == 3, F.regexp_replace(line, r'"raw_id":\d+', '"raw_id":"x"')).otherwise(line)
+    fx.raw(spark, sf).select(worse.alias("value")).write.text(path)
+    good, aside = read_raw_json(spark, path)
+    read = good.groupBy("source").agg(F.count("*").alias("rows"), F.max("raw_id").alias("last_id"))
+    lost = aside.groupBy(F.col("reason").alias("source")).agg(F.count("*").alias("rows"), F.lit(None).cast("long").alias("last_id"))
+    return read.unionByName(lost)
+
+
 @query("dim_date_usage")
 def _(spark, sf):
     """Every calendar day with its columns and the number of postings, none included."""
@@ -182,20 +195,10 @@ def _(spark, sf):
 
 @query("fact_posting_skew_safe")
 def _(spark, sf):
-    """The same fact through the join path for dimensions too large to broadcast."""
-    from jobloom.operators.joins import left_join_dimension
-
+    """The same fact, all of it, through the joins for dimensions too large to broadcast."""
     m = fx.marts(spark, sf)
-    joined = left_join_dimension(
-        m.deduped,
-        m.dim_companies,
-        F.lower(F.trim("company")),
-        "company_lower",
-        "total_postings",
-        {"company_key": "company_key"},
-        small_bytes=0,
-    )
-    return joined.select(F.col("raw_id").alias("job_key"), "company_key")
+    places = dims.build_dim_locations(m.deduped, read_seed(spark, "regions"), keep_counts=True)
+    return facts.build_fct_postings(m.deduped, dims.build_dim_companies(m.deduped), places, small_bytes=0)
 
 
 @query("fact_skill_demand")
@@ -421,6 +424,32 @@ def _(spark, sf):
     return quality.salary_range_offenders(fx.marts(spark, sf).fct_job_postings)
 
 
+@query("dq_damaged")
+def _(spark, sf):
+    """The posting suite over a damaged fact: every check fails."""
+    m = fx.marts(spark, sf)
+    refs = {"dim_companies": m.dim_companies, "dim_locations": m.dim_locations}
+    return quality.run_suite(fx.damaged_postings(spark, sf), "fct_job_postings", quality.postings_suite(10_000_000), refs=refs)
+
+
+@query("dq_offenders")
+def _(spark, sf):
+    return quality.offenders(fx.damaged_postings(spark, sf), "fct_job_postings", quality.postings_suite(), "job_key")
+
+
+@query("dq_quarantine")
+def _(spark, sf):
+    """Rows that pass and, by their reasons, rows that fail."""
+    kept, held = quality.quarantine(fx.damaged_postings(spark, sf), quality.postings_suite())
+    rows = held.select("source_id", F.array_join("failed_checks", ",").alias("reasons"))
+    return rows.unionByName(kept.select("source_id", F.lit("").alias("reasons"))).groupBy("reasons").agg(F.count("*").alias("rows"), F.min("source_id").alias("least_id"))
+
+
+@query("dq_salary_range_damaged")
+def _(spark, sf):
+    return quality.salary_range_offenders(fx.damaged_postings(spark, sf))
+
+
 @query("dq_stored_results")
 def _(spark, sf):
     """Results of the raw suite after they were appended to the result table."""

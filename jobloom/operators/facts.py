@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from jobloom.functions.salary import DEFAULT_CURRENCY, to_monthly_php, with_salary
 from jobloom.functions.text import date_key, fold
-from jobloom.operators.joins import left_join_dimension
+from jobloom.operators.joins import SMALL_SIDE_BYTES, left_join_dimension
 from jobloom.operators.positions import dense_key
 from jobloom.operators.skills import posting_skills
 
 
-def build_fct_postings(deduped: DataFrame, companies: DataFrame, locations: DataFrame) -> DataFrame:
-    """One row per deduplicated posting.
+def build_fct_postings(deduped: DataFrame, companies: DataFrame, locations: DataFrame, small_bytes: int = SMALL_SIDE_BYTES) -> DataFrame:
+    """One row per deduplicated posting; dimensions above `small_bytes` are joined with their hot keys apart.
 
     Salaries are parsed in the row instead of being joined on raw_id. `locations` may carry `postings`
     (see build_dim_locations); without it every place weighs the same.
@@ -22,7 +22,7 @@ def build_fct_postings(deduped: DataFrame, companies: DataFrame, locations: Data
         locations = locations.withColumn("postings", F.lit(1))
     priced = with_salary(deduped)
     step = left_join_dimension(
-        priced, companies, fold(F.col("company")), "company_lower", "total_postings", {"company_key": "company_key"}
+        priced, companies, fold(F.col("company")), "company_lower", "total_postings", {"company_key": "company_key"}, small_bytes
     )
     step = left_join_dimension(
         step,
@@ -31,6 +31,7 @@ def build_fct_postings(deduped: DataFrame, companies: DataFrame, locations: Data
         "location_raw",
         "postings",
         {"location_key": "location_key", "is_remote": "_place_remote"},
+        small_bytes,
     )
     scraped = F.to_date("scraped_at")
     return step.select(

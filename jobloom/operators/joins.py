@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,8 +24,10 @@ def left_join_dimension(
     weight: str,
     take: dict[str, str],
     small_bytes: int = SMALL_SIDE_BYTES,
+    spread: Sequence[str] = ("raw_id",),
 ) -> DataFrame:
-    """Add `take` = {dimension column: new name} to `fact`; `weight` is the dimension's row count per key.
+    """Add `take` = {dimension column: new name} to `fact`; `weight` is the dimension's row count per key and `spread` are
+    columns whose values differ from row to row.
 
     Small dimension: a plain left join. Otherwise the hot keys, fewer than HOT_FRACTION by definition, are joined
     by broadcast, and all other rows by a shuffle in which hot and missing keys are spread over filler keys, so that
@@ -40,7 +44,7 @@ def left_join_dimension(
     cold = marked.where("not _hot").select("_dim_key", *take.values())
     step = keyed.join(F.broadcast(hot), F.col("_key") == F.col("_hot_dim_key"), "left")
     # A filler starts with NUL, which no trimmed name does, so it meets no dimension row.
-    filler = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64("raw_id"), F.lit(NULL_SPREAD)).cast("string"))
+    filler = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*spread), F.lit(NULL_SPREAD)).cast("string"))
     step = step.withColumn("_cold_key", F.when(F.col("_hot_dim_key").isNull() & F.col("_key").isNotNull(), F.col("_key")).otherwise(filler))
     joined = step.join(cold, F.col("_cold_key") == F.col("_dim_key"), "left")
     return joined.select(*fact.columns, *[F.coalesce(F.col(f"_hot_{n}"), F.col(n)).alias(n) for n in take.values()])

@@ -64,22 +64,35 @@ def relationship(column: str, ref: str, ref_column: str) -> Check:
     return Check("relationship", column, ref=ref, ref_column=ref_column)
 
 
-def _failed(check: Check, as_of: datetime | None) -> Column:
-    """Aggregate that counts the offending rows; a NULL value only fails not_null."""
-    value = F.col(check.column) if check.column else None
+#: Kinds that are decided by a row alone.
+ROW_KINDS = ("not_null", "accepted_values", "accepted_range", "ordered", "fresh")
+
+
+def offends(check: Check, as_of: datetime | None = None) -> Column:
+    """Whether a row offends a check of ROW_KINDS; a NULL value only offends not_null."""
+    value = F.col(check.column)
     if check.kind == "not_null":
-        return F.count_if(value.isNull())
+        return value.isNull()
     if check.kind == "accepted_values":
-        return F.count_if(~value.isin(*check.values))
-    if check.kind == "accepted_range":
-        return F.count_if(~value.between(check.low, check.high))
-    if check.kind == "ordered":
-        return F.count_if(value < F.col(check.ref_column))
-    if check.kind == "fresh":
+        wrong = ~value.isin(*check.values)
+    elif check.kind == "accepted_range":
+        wrong = ~value.between(check.low, check.high)
+    elif check.kind == "ordered":
+        wrong = value < F.col(check.ref_column)
+    elif check.kind == "fresh":
         if as_of is None:
             raise ValueError("a freshness check needs as_of")
         now = F.lit(as_of).cast("timestamp")
-        return F.count_if(~value.between(now - F.make_dt_interval(F.lit(int(check.low))), now))
+        wrong = ~value.between(now - F.make_dt_interval(F.lit(int(check.low))), now)
+    else:
+        raise ValueError(f"not decided by a row: {check.kind}")
+    return F.coalesce(wrong, F.lit(False))
+
+
+def _failed(check: Check, as_of: datetime | None) -> Column:
+    """Aggregate that counts the offending rows."""
+    if check.kind in ROW_KINDS:
+        return F.count_if(offends(check, as_of))
     if check.kind == "row_count":
         rows = F.count("*")
         short = F.greatest(F.lit(int(check.low)) - rows, F.lit(0))
@@ -143,6 +156,32 @@ def run_suite(
     return reduce(DataFrame.unionByName, parts)
 
 
+def offenders(df: DataFrame, table: str, checks: Sequence[Check], key: str, as_of: datetime | None = None) -> DataFrame:
+    """(table, column, check, failed_rows, first_key, last_key) of the checks that a row decides: where to look for what
+    failed. One pass; a check holds two keys, however many rows offend it."""
+    by_row = [c for c in checks if c.kind in ROW_KINDS]
+    if not by_row:
+        raise ValueError("no check here is decided by a row")
+    columns = []
+    for i, c in enumerate(by_row):
+        held = F.when(offends(c, as_of), F.col(key))
+        columns += [F.count_if(offends(c, as_of)).alias(f"n{i}"), F.min(held).alias(f"a{i}"), F.max(held).alias(f"z{i}")]
+    each = [
+        F.struct(F.lit(c.column).alias("column"), F.lit(c.kind).alias("check"), F.col(f"n{i}").alias("failed_rows"), F.col(f"a{i}").alias("first_key"), F.col(f"z{i}").alias("last_key"))
+        for i, c in enumerate(by_row)
+    ]
+    return df.agg(*columns).select(F.inline(F.array(*each))).select(F.lit(table).alias("table"), "*")
+
+
+def quarantine(df: DataFrame, checks: Sequence[Check], as_of: datetime | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows that pass, rows that fail with `failed_checks`): all checks that a row decides, in the order given. No row is in
+    both or neither, and nothing is shuffled."""
+    named = [F.when(offends(c, as_of), F.lit(f"{c.column}:{c.kind}")) for c in checks if c.kind in ROW_KINDS]
+    reasons = F.array_compact(F.array(*named)) if named else F.array().cast("array<string>")
+    judged = df.withColumn("failed_checks", reasons)
+    return judged.where(F.size("failed_checks") == 0).drop("failed_checks"), judged.where(F.size("failed_checks") > 0)
+
+
 def raw_suite() -> list[Check]:
     return [
         row_count(1),

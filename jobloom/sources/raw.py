@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import csv
 import io
+from functools import reduce
 from importlib.resources import files
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from jobloom import schemas
 from jobloom.operators.positions import dense_key
@@ -21,6 +23,30 @@ def read_raw(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.schema(schemas.RAW).format(fmt).load(path)
 
 
+_UNREAD = "_unread"
+#: Columns that a raw posting cannot be without.
+REQUIRED = ("source", "source_id", "scraped_at", "raw_data")
+
+
+def read_raw_json(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(raw postings, rows kept aside) of landed JSON lines: none is lost.
+
+    Aside are lines that are no JSON or whose values do not fit the schema ("unreadable"), with their text as `record`, and
+    rows without a required column ("incomplete"). Fields that the schema does not know are passed over.
+    """
+    schema = T.StructType([*schemas.RAW.fields, T.StructField(_UNREAD, T.StringType())])
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    # Not the JSON reader: it tests filters before it knows that a line is bad, and then loses it. The generator keeps Spark
+    # from parsing a line once for the filter and once more for the row.
+    parsed = F.from_json("value", schema, {"columnNameOfCorruptRecord": _UNREAD})
+    rows = lines.select("value", F.inline_outer(F.array(parsed)))
+    lacking = reduce(Column.__or__, [F.col(c).isNull() for c in REQUIRED])
+    nothing = reduce(Column.__and__, [F.col(c).isNull() for c in schemas.RAW.names])
+    reason = F.when(F.col(_UNREAD).isNotNull() | nothing, "unreadable").when(lacking, "incomplete")
+    judged = rows.withColumn("reason", reason)
+    return judged.where("reason is null").select(*schemas.RAW.names), judged.where("reason is not null").select("reason", F.col("value").alias("record"))
+
+
 def read_seed(spark: SparkSession, name: str, path: str | None = None) -> DataFrame:
     """A seed table: the packaged one, or a CSV in shared storage.
 
