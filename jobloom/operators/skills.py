@@ -8,7 +8,7 @@ directly. Everything happens inside the row: no cross join, no shuffle, and the
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_
@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobloom.functions.text import WORD, whole_word
+from jobloom.session import cut
 
 _LITERAL = re.compile(r"(?:[\w\s/#&,:;@'-]|\\[^\w\s])+", re.ASCII)
 _PLAIN = re.compile(r"\w+", re.ASCII)
@@ -63,9 +64,39 @@ def load_terms(dictionary: DataFrame, limit: int | None = None) -> list[Term]:
 
 
 def tokens_of(texts: Sequence[Column]) -> Column:
-    """Distinct tokens of all texts, with A-Z in lower case and every other letter as it stands, like the regexes."""
-    lowered = F.translate(F.concat_ws("\n", *texts), ascii_uppercase, ascii_lowercase)
-    return F.array_distinct(F.regexp_extract_all(lowered, F.lit(f"{WORD}+"), F.lit(0)))
+    """Distinct tokens of all texts, with A-Z in lower case and every other letter as it stands, like the regexes. Texts of
+    plain letters take the quicker functions, with the same tokens."""
+    body = F.concat_ws("\n", *texts)
+    quick = F.regexp_extract_all(F.lower(body), F.lit(r"\w+"), F.lit(0))
+    every = F.regexp_extract_all(F.translate(body, ascii_uppercase, ascii_lowercase), F.lit(f"{WORD}+"), F.lit(0))
+    return F.array_distinct(F.when(F.octet_length(body) == F.length(body), quick).otherwise(every))
+
+
+#: Most words of 64 bits of a token filter; it has 16 bits for each entry, up to this size.
+FILTER_WORDS = 1 << 14
+
+
+def _place(token: Column, words: int) -> tuple[Column, Column]:
+    """Word and bit of a token in a filter of `words` words, a power of two."""
+    h = F.xxhash64(token)
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), h.bitwiseAND(F.lit(63)).cast("int"))
+    return F.shiftrightunsigned(h, 6).bitwiseAND(F.lit(words - 1)).cast("int"), bit
+
+
+def token_filter(tokens: DataFrame, column: str) -> Callable[[Column], Column]:
+    """A condition that holds for every token of `tokens`, and for few others. The bits are gathered by Spark; at most
+    FILTER_WORDS numbers reach the driver and the plan, however many tokens there are."""
+    n = tokens.select(column).distinct().count()
+    words = min(FILTER_WORDS, 1 << max(0, (n // 4).bit_length()))
+    word, bit = _place(F.col(column), words)
+    set_bits = dict(tokens.select(word.alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit")).collect())
+    table = F.split(F.lit(",".join(str(set_bits.get(i, 0)) for i in range(words))), ",").cast("array<bigint>")
+
+    def may_be_one(token: Column) -> Column:
+        word, bit = _place(token, words)
+        return F.get(table, word).bitwiseAND(bit) != 0
+
+    return may_be_one
 
 
 def _pair(term: Term) -> Column:
@@ -166,10 +197,11 @@ def match_terms(
 
 
 def _joined(df, id_cols, text_cols, array_cols, dictionary, boundary, carry) -> DataFrame:
-    """Large dictionaries: explode each row's distinct tokens and equi-join them with the terms' anchors.
+    """Large dictionaries: equi-join the row's distinct tokens with the terms' anchors.
 
-    Only terms whose anchor occurs in the row become candidates; phrases are then verified by regex. AQE picks the
-    join side and splits hot tokens. Terms without an anchor are compiled as regexes.
+    A filter of bits in the plan drops the tokens that are no anchor inside the row, so few are exploded and shuffled. Only
+    terms whose anchor occurs in the row become candidates; phrases are then verified by regex. AQE picks the join side and
+    splits hot tokens. Terms without an anchor are compiled as regexes.
     """
     # Escaped signs are unescaped, then the longest word is the anchor; the rule is Term.anchor's, JVM-side.
     literal = F.col("pattern").rlike(r"^(?:[\w\s/#&,:;@'-]|\\[^\w\s])+$")
@@ -190,10 +222,13 @@ def _joined(df, id_cols, text_cols, array_cols, dictionary, boundary, carry) ->
     rows = df.select(*id_cols, *carry, *[c for c in [*text_cols, *array_cols] if c not in {*id_cols, *carry}])
     body = [F.col(c) for c in text_cols] + [F.array_join(c, "\n") for c in array_cols]
     # Only ids travel with the tokens; the texts would be copied once per token.
-    tokens = rows.select(*id_cols, *carry, F.explode_outer(tokens_of(body)).alias("anchor"))
-    words = F.col("pattern").rlike(r"^\w+$")
+    known = F.filter(tokens_of(body), token_filter(anchored, "anchor"))
+    tokens = rows.select(*id_cols, *carry, F.explode_outer(known).alias("anchor"))
     out = [*id_cols, *carry, "skill_name", "skill_category"]
-    pairs = tokens.join(anchored.where(words).drop("pattern"), "anchor").select(*out)
+    is_word = F.col("pattern").rlike(r"^\w+$").alias("is_word")
+    # Written once: texts are taken apart a single time for words and phrases.
+    met = cut(tokens.join(anchored.select("*", is_word), "anchor").select(*out, "pattern", "is_word"), "anchors")
+    pairs = met.where("is_word").select(*out)
 
     # Phrases: the candidates of a row meet its text again, by id, and are checked there.
     front, back = whole_word("\u0000", boundary).split("\u0000")
@@ -203,7 +238,7 @@ def _joined(df, id_cols, text_cols, array_cols, dictionary, boundary, carry) ->
         found = found | F.coalesce(F.rlike(F.col(c), regex), F.lit(False))
     for c in array_cols:
         found = found | F.coalesce(F.exists(c, lambda e: F.rlike(e, regex)), F.lit(False))
-    candidates = tokens.drop(*carry).join(anchored.where(~words), "anchor").drop("anchor")
+    candidates = met.where("not is_word").drop(*carry, "is_word")
     renamed = candidates.withColumnsRenamed({c: f"_{c}_of_candidate" for c in id_cols}).distinct()
     same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}_of_candidate")) for c in id_cols])
     pairs = pairs.unionByName(rows.join(renamed, same).where(found).select(*out))

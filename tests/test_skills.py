@@ -104,3 +104,24 @@ def test_null_and_repeated_ids_and_many_regexes(spark, monkeypatch, method):
     words = spark.createDataFrame(terms, "pattern string, canonical_name string, category string")
     out = skills.match_terms(df, ["id"], ["t"], [], words, unique_ids=False, method=method)
     assert sorted((r.id or 0, r.skill_name) for r in out.collect()) == [(0, "BI"), (0, "Power BI"), (0, "SQL"), (1, "BI"), (1, "Power BI"), (1, "SQL")]
+
+
+def test_token_filter_keeps_every_token_and_few_others(spark):
+    known = spark.range(3000).select(F.concat(F.lit("w"), "id").alias("t"))
+    asked = spark.range(6000).select("id", F.array(F.concat(F.lit("w"), "id")).alias("ts"))
+    kept = asked.where(F.size(F.filter("ts", skills.token_filter(known, "t"))) > 0)
+    ids = [r.id for r in kept.select("id").collect()]
+    assert set(range(3000)) <= set(ids) and len(ids) < 3000 * 1.3
+    none = skills.token_filter(known.limit(0), "t")
+    assert asked.where(F.size(F.filter("ts", none)) > 0).count() == 0
+
+
+def test_large_dictionary_joined_equals_compiled(spark, rows):
+    """Words and phrases of a few thousand entries; only anchors leave the rows, and the texts are taken apart once."""
+    rng = random.Random(6)
+    vocabulary = [f"w{i}" for i in range(400)] + ["é1", "ſx", "Kelvin"]
+    terms = {(rng.choice(vocabulary), f"n{i % 90}", "c") for i in range(250)} | {(" ".join(rng.sample(vocabulary, 2)), f"p{i % 50}", None) for i in range(250)}
+    dictionary = spark.createDataFrame(sorted(terms, key=repr), "pattern string, canonical_name string, category string")
+    texts = spark.createDataFrame([(i, " ".join(rng.choice(vocabulary).title() if rng.random() < 0.2 else rng.choice(vocabulary) for _ in range(60))) for i in range(120)], "id long, t string")
+    run = lambda method: skills.match_terms(texts, ["id"], ["t"], [], dictionary, method=method)
+    assert rows(run("joined")) == rows(run("compiled")) != []
