@@ -33,13 +33,13 @@ from jobloom.session import cut
 
 LENGTH = 100
 #: Bytes of text after which a chunk ends; the texts of an Arrow batch stay together.
-CHUNK_BYTES = 8_000_000
+CHUNK_BYTES = 4_000_000
 #: Buckets with more pieces than this go window by window.
 HOT = 1000
 #: Window starts that are hashed at once.
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 #: Bytes of pieces whose suffixes are sorted at once; a bucket stays whole.
-SORTED_BYTES = 1 << 21
+SORTED_BYTES = 1 << 20
 
 #: Fixed odd numbers that spread bits.
 _ODD = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)
