@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping
+from math import isfinite
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -49,11 +50,22 @@ def _no_constant(name: str):
     raise ValueError(name)
 
 
+def _finite(text: str) -> float:
+    number = float(text)
+    if not isfinite(number):
+        raise ValueError(text)
+    return number
+
+
 def parse(text: str | None) -> tuple[object, str | None]:
+    """(value, None), or (text, error) for what is no JSON or could not be written again: numbers beyond a double, lone
+    surrogates, nesting beyond the interpreter's depth."""
     try:
-        return json.loads(text or "", parse_constant=_no_constant), None
+        value = json.loads(text or "", parse_constant=_no_constant, parse_float=_finite)
+        canonical(value).encode()
     except (ValueError, RecursionError):
         return text, "$: not JSON"
+    return value, None
 
 
 _KEY = ["conv_id", "call_id"]

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from check import compare, connect
-from jobloom.llm import common, gnat, orchard, previous_factor
+from jobloom.llm import common, gnat, orchard, previous_factor, tool_calls
 from jobloom.llm.oracles import ORACLES
 from jobloom.llm.queries import QUERIES
 
@@ -172,3 +172,14 @@ def test_vectors_without_rows_and_too_large(spark):
 def test_registered_query_against_sql(spark, name):
     outcome, rows = compare(spark, connect(SF_DIR), name, SF_DIR)
     assert outcome == "ok" and rows and name in ORACLES and name in QUERIES
+
+
+@pytest.mark.parametrize("text", ['{"x":1e999}', '{"x":[-1e400]}', '{"x":"\\ud800"}', '{"\\udfff":1}', "[" * 100_000, "9" * 5000, "NaN", "", "{"])
+def test_arguments_that_cannot_be_written_again_are_errors(spark, text):
+    """Texts that Python parses but JSON or UTF-8 cannot hold end in an error of the call, not of the job."""
+    calls = [(1, 1, "a", "f", text, []), (1, 2, "b", "f", '{"x":"\\ud83d\\ude00 1e999"}', ["a"])]
+    df = spark.createDataFrame(calls, "conv_id long, turn long, call_id string, name string, arguments string, needs array<string>")
+    results = spark.createDataFrame([(1, 1, "a", "ok")], "conv_id long, turn long, call_id string, content string")
+    got = {r.call_id: r for r in tool_calls.link(df, results, {"f": {"type": "object"}}).collect()}
+    assert (got["a"].valid, got["a"].errors, got["a"].status) == (False, ["$: not JSON"], "linked")
+    assert got["b"].valid and "\U0001f600 1e999" in got["b"].json
