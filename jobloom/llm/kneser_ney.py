@@ -32,6 +32,8 @@ FOLDS = 5
 CHUNK_CHARACTERS = 16_000_000
 #: Characters that are looked up at once.
 AT_ONCE = 1 << 20
+#: Symbols of a block, a stretch of a text whose mean bits are looked at by themselves.
+BLOCK = 128
 
 
 class Model(NamedTuple):
@@ -181,8 +183,15 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)], names=["chunk", "id", "lang", "fold", "bytes", "texts"])
 
 
+def _block_bits(sums: np.ndarray, start: int, symbols: int) -> np.ndarray:
+    """Mean bits of each of a text's blocks, which share its symbols evenly and have at least BLOCK each, but for a single
+    one; `sums` are running sums of logarithms, of which the text's own begin at `start`."""
+    edges = np.linspace(0, symbols, max(1, symbols // BLOCK) + 1).astype(np.int64)
+    return -np.diff(sums[start + edges]) / np.diff(edges)
+
+
 def _perplexities(answers: pa.Table, packed: pa.Table) -> pa.Table:
-    """Perplexity of each text of a chunk from the chunk's own n-grams."""
+    """Perplexity of each text of a chunk, and bits of its blocks, from the chunk's own n-grams."""
     codec, grams = pa.Codec("zstd"), answers["gram"].combine_chunks()
     bits = np.append(answers["bits"].to_numpy(), np.float32(0))  # the last place answers for windows between texts
     out = []
@@ -192,7 +201,7 @@ def _perplexities(answers: pa.Table, packed: pa.Table) -> pa.Table:
         ends = np.cumsum(sizes).tolist()
         coded = codec.decompress(own["texts"].as_py(), decompressed_size=ends[-1], asbytes=True) if ends[-1] else b""
         texts = [coded[e - n : e].decode() for e, n in zip(ends, sizes)]
-        lengths, total = np.array([len(t) for t in texts], dtype=np.int64), np.zeros(len(texts))
+        lengths, total, blocks = np.array([len(t) for t in texts], dtype=np.int64), np.zeros(len(texts)), []
         for first, piece in _pieces(texts):
             codes, inside, starts = windows(piece)
             at = pc.index_in(pa.array(codes), value_set=grams).fill_null(len(grams)).to_numpy()
@@ -201,14 +210,16 @@ def _perplexities(answers: pa.Table, packed: pa.Table) -> pa.Table:
             sums = np.concatenate(([0.0], np.cumsum(np.where(inside, bits[at], 0), dtype=np.float64)))
             mine = lengths[first : first + len(piece)]
             total[first : first + len(piece)] = sums[starts + mine + 1] - sums[starts]
+            blocks += [_block_bits(sums, s, n + 1) if n else np.zeros(0) for s, n in zip(starts.tolist(), mine.tolist())]
         ppl = pa.array(np.exp2(-total / (lengths + 1)), mask=lengths == 0)
-        out.append(pa.table([own["id"].values, own["lang"].values, own["fold"].values, pa.array(lengths), ppl], names=["id", "lang", "fold", "n_symbols", "perplexity"]))
+        out.append(pa.table([own["id"].values, own["lang"].values, own["fold"].values, pa.array(lengths), ppl, pa.array(blocks, pa.list_(pa.float32()))], names=["id", "lang", "fold", "n_symbols", "perplexity", "blocks"]))
     return pa.concat_tables(out)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(id, lang, fold, n_symbols, perplexity) of each row, over its whole text and its end. A null or empty text has no
-    symbols and no perplexity. `fold` deals texts, copies alike, into FOLDS parts.
+    """(id, lang, fold, n_symbols, perplexity, blocks) of each row, over its whole text and its end; `blocks` are the mean
+    bits of its stretches of BLOCK symbols. A null or empty text has no symbols, no perplexity and no block. `fold` deals
+    texts, copies alike, into FOLDS parts.
 
     `docs` is read twice and must fall into the same partitions both times, as files do; it is an error if not.
     """
@@ -218,19 +229,38 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     wanted = cut(asked.select("gram").distinct(), "wanted")
     bits = probabilities(wanted, model).select("gram", F.log2("p").cast("float").alias("bits"))
     answers, packed = asked.join(bits, "gram").groupBy("chunk"), chosen.mapInArrow(_packed, _PACKED).groupBy("chunk")
-    return answers.cogroup(packed).applyInArrow(_perplexities, "id long, lang string, fold int, n_symbols long, perplexity double")
-
-
-def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, least: int = 50, slack: float = 1.1, prior: int = 50, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """One row per row of `docs`: id, lang, n_symbols, perplexity, judged, threshold, keep.
-
-    Trusted texts are those whose label says quality 1 and not toxic; one fold of five of them is held back from training.
-    A short text says little, so a document is judged by its perplexity together with `prior` symbols at the median of
-    its language. The threshold of a language is the `quantile` of this figure over its held-back texts, times `slack`. A
-    language (null is one too) with fewer than `least` held-back texts takes the pooled figures, and without any trusted
-    text nothing is rejected for its perplexity. Null and empty texts have nothing to keep and are rejected. Ids that
-    repeat in `labels` count once; a trusted id that repeats in `docs` makes all its rows trusted; null ids are never
-    trusted.
+    return answers.cogroup(packed).applyInArrow(_perplexities, "id long, lang string, fold int, n_symbols long, perplexity double, blocks array<float>")
+
+
+def classify(
+    docs: DataFrame,
+    labels: DataFrame,
+    quantile: float = 0.995,
+    pool: int = 50,
+    slack: float = 1.1,
+    prior: int = 50,
+    tail: float = 0.002,
+    odd: float = 0.15,
+    steady: int = 4,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+) -> DataFrame:
+    """One row per row of `docs`: id, lang, n_symbols, perplexity, judged, threshold, odd_share, keep.
+
+    Trusted texts are those whose label says quality 1 and not toxic; one fold of five of them is held back from training,
+    and quantiles of the held-back texts are the limits of each language (null is one too). They are drawn to the pooled
+    ones as `pool` further texts would: a language of n texts counts n / (n + pool), so a rare one follows the pool and a
+    common one itself, without a step between. Without any trusted text nothing is rejected for its perplexity.
+
+    A document is kept if it passes both of these:
+    - its perplexity. A short text says little, so it is judged together with `prior` symbols at the median of its
+      language; the threshold is the `quantile` of this figure, times `slack`.
+    - its blocks. Those below the `tail` quantile of held-back blocks (the same said over and over) or above the 1 - `tail`
+      one (junk between ordinary lines) are odd; their share, with `steady` ordinary blocks added, is at most `odd`.
+
+    Null and empty texts have nothing to keep and are rejected. Ids that repeat in `labels` count once; a trusted id that
+    repeats in `docs` makes all its rows trusted; null ids are never trusted.
     """
     good = labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select(F.col("doc_id").cast("long").alias("trusted")).distinct()
     side = ids_side(good)
@@ -239,25 +269,28 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, least:
     scored = cut(score(docs, train(text), id_col, text_col, lang_col).withColumn("bits", F.log2("perplexity")), "scored")
     held = scored.where("fold = 0 and bits is not null").join(side, F.col("id") == F.col("trusted"), "left_semi")
 
-    middle_bits = F.percentile_approx("bits", 0.5, 100_000).alias("own_mid")
-    all_mid = held.agg(middle_bits).first()[0]
-    mids = held.groupBy(F.col("lang").alias("mid_lang")).agg(middle_bits, F.count("*").alias("_n")).where(F.col("_n") >= least)
+    def limits(rows: DataFrame, figures: dict[str, Column], own: str) -> tuple[DataFrame, dict[str, Column]]:
+        """The figures per language, and each as a column that draws a language's own (if it has any) to the pooled."""
+        of = rows.groupBy(F.col("lang").alias(own)).agg(F.count_distinct("id").alias(f"{own}_n"), *[c.alias(f"{own}_{n}") for n, c in figures.items()])
+        pooled = rows.agg(*[c.alias(n) for n, c in figures.items()]).first()
+        weight = F.col(f"{own}_n") / (F.col(f"{own}_n") + pool)
+        mixed = {n: F.lit(pooled[n]).cast("double") + F.coalesce(weight * (F.col(f"{own}_{n}") - F.lit(pooled[n])), F.lit(0.0)) for n in figures}
+        return of, mixed
+
+    def beside(rows: DataFrame, of: DataFrame, own: str) -> DataFrame:
+        # One row per language: bounded by the number of languages, not by the documents.
+        return rows.join(F.broadcast(of), F.col("lang").eqNullSafe(F.col(own)), "left")
+
+    mids, mid = limits(held, {"mid": F.percentile_approx("bits", 0.5, 100_000)}, "of_mid")
+    at = lambda q: F.percentile_approx("block", q, 100_000)
+    tails, ends = limits(held.select("id", "lang", F.explode("blocks").alias("block")), {"low": at(tail), "high": at(1 - tail)}, "of_tail")
 
     def judged(rows: DataFrame) -> DataFrame:
         size = F.col("n_symbols") + 1
-        middle = F.coalesce("own_mid", F.lit(all_mid).cast("double"))
-        # One row per language: bounded by the number of languages, not by the documents.
-        return (
-            rows.join(F.broadcast(mids), F.col("lang").eqNullSafe(F.col("mid_lang")), "left")
-            .withColumn("judged", F.pow(F.lit(2.0), (F.col("bits") * size + middle * prior) / (size + prior)))
-        )
-
-    cutoff = (F.percentile_approx("judged", quantile, 100_000) * slack).alias("cutoff")
-    tried = judged(held)
-    own = tried.where("own_mid is not null").groupBy(F.col("lang").alias("own_lang")).agg(cutoff)
-    pooled = tried.agg(cutoff).first()[0]
-    threshold = F.coalesce("cutoff", F.lit(pooled).cast("double"))
-    keep = F.col("n_symbols").cast("boolean") & F.coalesce(F.col("judged") <= threshold, F.lit(True))
-    return judged(scored).join(F.broadcast(own), F.col("lang").eqNullSafe(F.col("own_lang")), "left").select(
-        "id", "lang", "n_symbols", "perplexity", "judged", threshold.alias("threshold"), keep.alias("keep")
-    )
+        return beside(rows, mids, "of_mid").withColumn("judged", F.pow(F.lit(2.0), (F.col("bits") * size + mid["mid"] * prior) / (size + prior)))
+
+    cutoffs, cutoff = limits(judged(held), {"cutoff": F.percentile_approx("judged", quantile, 100_000) * slack}, "of_cutoff")
+    met = beside(beside(judged(scored), cutoffs, "of_cutoff"), tails, "of_tail").withColumns({"threshold": cutoff["cutoff"], "_low": ends["low"], "_high": ends["high"]})
+    share = F.size(F.filter("blocks", lambda b: (b < F.col("_low")) | (b > F.col("_high")))) / (F.size("blocks") + steady)
+    keep = F.col("n_symbols").cast("boolean") & F.coalesce(F.col("judged") <= F.col("threshold"), F.lit(True)) & (F.col("odd_share") <= odd)
+    return met.withColumn("odd_share", share).select("id", "lang", "n_symbols", "perplexity", "judged", "threshold", "odd_share", keep.alias("keep"))
