@@ -52,7 +52,8 @@ def _(spark, sf):
 
 @query("rank_duplicates")
 def _(spark, sf):
-    return unify.rank_duplicates(staging.stage_all(fx.raw(spark, sf))).select("raw_id", "source", "source_id", "rn")
+    asked = staging.stage_all(fx.raw(spark, sf)).select("raw_id", "source", "source_id", "scraped_at")
+    return unify.rank_duplicates(asked).drop("scraped_at")
 
 
 @query("dedup_latest")

@@ -34,8 +34,8 @@ def unify(staged: Iterable[DataFrame]) -> DataFrame:
 
 
 def rank_duplicates(df: DataFrame, keys: Sequence[str] = POSTING_KEY) -> DataFrame:
-    """Add rn: 1 for the newest copy of each key, 2 for the one before, ..."""
-    return rank_within(df, keys, newest_first(), "rn")
+    """Add rn: 1 for the newest copy of each key, 2 for the one before, ... Only the columns of key and order are sorted."""
+    return rank_within(df, keys, newest_first(), "rn", by=["scraped_at", "raw_id"])
 
 
 def dedup_latest(df: DataFrame, keys: Sequence[str] = POSTING_KEY) -> DataFrame:

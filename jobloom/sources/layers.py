@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,34 +75,72 @@ def drop_old_versions(spark: SparkSession, root: str, layer: str, name: str, kee
     return len(unused)
 
 
-def append_snapshot(demand: DataFrame, path: str) -> None:
+#: Runs of one level that are merged into one of the next level.
+RUNS = 16
+
+
+def append_snapshot(demand: DataFrame, path: str, runs: int = RUNS) -> None:
     """Write the days of `demand` and leave all other days as they are.
 
-    A day has few rows, so files are laid out by month; only the months of `demand` are rewritten, with their other
-    days kept. A day that is written again replaces itself, so a retried run adds nothing twice.
+    An append is a run of files of its own, which a new version names together with the days that it holds; a day that is
+    written again is taken from the list of the run that had it, so a retried append adds nothing twice and no stored row
+    is written anew. `runs` runs of a level are merged into one of the next, which keeps their number low. A day is spread
+    over tasks by its rows' contents. Rows without a day are never replaced.
     """
     spark = demand.sparkSession
-    month = F.date_format("snapshot_date", "yyyy-MM").alias("snapshot_month")
-    batch = demand.select("*", month)
-    if versions.exists(spark, path):
-        stored = read_snapshots(spark, path, batch)
-        touched = [r[0] for r in batch.select("snapshot_month").distinct().collect()]  # one value per month
-        kept = stored.where(F.col("snapshot_month").isin(touched)).join(
-            batch.select("snapshot_date").distinct(), "snapshot_date", "left_anti"
-        )
-        batch = cut(batch.unionByName(kept), "snapshot")  # the months read here are overwritten below
-    (
-        batch.repartition("snapshot_month")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("snapshot_month")
-        .parquet(path)
-    )
+    found = versions.load(spark, path)
+    number, known = (found[0] + 1, found[1]["runs"]) if found else (0, [])
+    fresh = _write_run(demand, path, 0)
+    days = set(fresh["days"])
+    known = [{**r, "days": [d for d in r["days"] if d not in days], "gone": sorted({*r["gone"], *(days & set(r["days"]))})} for r in known]
+    known = [r for r in known if r["days"] or r["dayless"]] + [fresh]
+    level = 0
+    while len(full := [r for r in known if r["level"] == level]) >= runs:
+        known = [r for r in known if r["level"] != level] + [_write_run(_live(spark, path, full, demand.schema), path, level + 1)]
+        level += 1
+    versions.commit(spark, path, number, {"runs": known})
+
+
+def _write_run(rows: DataFrame, path: str, level: int) -> dict:
+    """A new run: sorted by day, so that readers of some days skip the others' parts of the files."""
+    folder = versions.new_folder(path)
+    spread = rows.repartitionByRange("snapshot_date", F.xxhash64(*rows.columns)).sortWithinPartitions("snapshot_date")
+    spread.write.parquet(f"{path}/{folder}")
+    stored = rows.sparkSession.read.schema(rows.schema).parquet(f"{path}/{folder}")
+    days = [r[0] for r in stored.select("snapshot_date").distinct().collect()]  # one value per day
+    return {"folder": folder, "level": level, "days": sorted(d.isoformat() for d in days if d), "gone": [], "dayless": None in days}
+
+
+def _live(spark: SparkSession, path: str, runs: Sequence[dict], schema: T.StructType) -> DataFrame:
+    """Rows of the runs, without the days that later runs have replaced. Untouched runs are one scan."""
+    whole = [f"{path}/{r['folder']}" for r in runs if not r["gone"]]
+    parts = [spark.read.schema(schema).parquet(*whole)] if whole else []
+    for run in (r for r in runs if r["gone"]):
+        gone = F.coalesce(F.col("snapshot_date").isin([datetime.date.fromisoformat(d) for d in run["gone"]]), F.lit(False))
+        parts.append(spark.read.schema(schema).parquet(f"{path}/{run['folder']}").where(~gone))
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
+
+
+def read_snapshots(spark: SparkSession, path: str, like: DataFrame, version: int | None = None) -> DataFrame:
+    """All stored days, as of the newest or a given version; `like` gives the columns."""
+    found = versions.load(spark, path, version)
+    if found is None:
+        raise FileNotFoundError(f"no snapshots at {path}")
+    return _live(spark, path, found[1]["runs"], like.schema)
 
 
-def read_snapshots(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
-    """All stored days; `like` gives the columns."""
-    return spark.read.schema(like.schema).parquet(path).select(*like.columns)
+def drop_old_snapshots(spark: SparkSession, path: str, keep: int = 2) -> int:
+    """Delete all versions but the newest `keep`, and the runs that none of those names, with those of appends that broke
+    off; gives the number of runs deleted. Run it when no append is under way and old versions have no readers."""
+    known = sorted(versions.numbers(spark, path))
+    kept = known[-max(keep, 1) :]
+    used = {r["folder"].split("/")[1] for n in kept for r in versions.load(spark, path, n)[1]["runs"]}
+    for n in known[: -len(kept)]:
+        versions.delete(spark, f"{path}/{versions.FOLDER}/v{n:012d}.json")
+    unused = [f for f in versions.children(spark, f"{path}/data") if f not in used]
+    for f in unused:
+        versions.delete(spark, f"{path}/data/{f}")
+    return len(unused)
 
 
 def run_log_rows(runs: DataFrame, error_length: int | None = None) -> DataFrame:

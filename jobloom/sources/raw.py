@@ -92,7 +92,10 @@ def upsert_raw(current: DataFrame, batch: DataFrame, order: str = "seq") -> Data
         F.when(F.col("latest").isNotNull(), F.col("latest.raw_data")).otherwise(F.col("raw_data")).alias("raw_data"),
     )
     fresh = incoming.join(known.select("source", "source_id"), ["source", "source_id"], "left_anti")
-    numbered = dense_key(fresh, ["first_order", "source", "source_id"], "offset_id")
+    # Payloads stay out of the sort: the numbers meet them where the aggregation has put them.
+    key = [F.col("source").alias("_source"), F.col("source_id").alias("_source_id"), "first_order"]
+    places = dense_key(fresh.select(*key), ["first_order", "_source", "_source_id"], "offset_id").drop("first_order")
+    numbered = fresh.join(places, F.expr("source <=> _source and source_id <=> _source_id"))
     top = current.agg(F.coalesce(F.max("raw_id"), F.lit(0))).scalar()
     added = numbered.select(
         (top + F.col("offset_id")).alias("raw_id"),

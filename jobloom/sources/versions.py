@@ -23,11 +23,6 @@ def _path(spark: SparkSession, path: str):
     return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    target, fs = _path(spark, path)
-    return fs.exists(target)
-
-
 def delete(spark: SparkSession, path: str) -> None:
     target, fs = _path(spark, path)
     fs.delete(target, True)

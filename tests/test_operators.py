@@ -1,6 +1,8 @@
+import random
 from datetime import datetime
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from jobloom import schemas
@@ -9,7 +11,7 @@ from jobloom.operators.joins import left_join_dimension
 from jobloom.plans import analytics
 from jobloom.plans.warehouse import build_warehouse
 from jobloom.session import scratch_path
-from jobloom.sources import layers
+from jobloom.sources import layers, versions
 from jobloom.sources.raw import read_raw, read_seed, upsert_raw
 
 T = [datetime(2026, 5, d) for d in range(1, 20)]
@@ -84,6 +86,39 @@ def test_hot_key_ranks(spark):
     assert got == want
 
 
+def test_ranks_sort_slim_rows(spark, rows):
+    """Only key and order columns are range partitioned and sorted; rows that tie in all of them still get a number each."""
+    df = spark.range(400).select(
+        F.col("id").alias("raw_id"),
+        F.when(F.col("id") % 4 > 0, "s").alias("source"),
+        F.when(F.col("id") % 3 > 0, (F.col("id") % 7).cast("string")).alias("source_id"),
+        F.when(F.col("id") % 5 > 0, F.timestamp_seconds(F.col("id") % 11)).alias("scraped_at"),
+        F.repeat(F.lit("x"), 100).alias("description"),
+    )
+    wide = positions.rank_within(df, unify.POSTING_KEY, unify.newest_first(), "rn")
+    slim = unify.rank_duplicates(df)
+    assert slim.columns == [*df.columns, "rn"] and rows(slim) == rows(wide)
+    window = Window.partitionBy("source", "source_id").orderBy(*unify.newest_first())
+    assert rows(slim) == rows(df.withColumn("rn", F.row_number().over(window).cast("bigint")))
+    plan = slim._jdf.queryExecution().executedPlan().toString()
+    sorted_columns = [scan for scan in plan.splitlines() if "FileScan" in scan and "_part" in scan]
+    assert sorted_columns and not any("description" in scan for scan in sorted_columns)
+    assert "description" not in unify.rank_duplicates(df).select("raw_id", "rn")._jdf.queryExecution().executedPlan().toString()
+    again = rows(unify.rank_duplicates(df.unionByName(df)).groupBy("source", "source_id").agg(F.count("*"), F.max("rn"), F.count_distinct("rn")))
+    assert all(n == top == different for _, _, n, top, different in again)
+    assert unify.rank_duplicates(df.limit(0)).count() == 0
+
+
+def test_new_ids_are_given_without_payloads(spark, rows):
+    """Payloads of new rows are neither range partitioned nor written to be numbered; null keys are keys."""
+    current = spark.createDataFrame([], "raw_id long, source string, source_id string, scraped_at timestamp, raw_data string")
+    batch = spark.createDataFrame([(None, "a", T[0], "1", 3), ("s", None, T[0], "2", 2), ("s", "b", T[0], "3", 1)], "source string, source_id string, scraped_at timestamp, raw_data string, seq long")
+    added = upsert_raw(current, batch)
+    assert rows(added.select("raw_id", "raw_data")) == [(1, "3"), (2, "2"), (3, "1")]
+    scans = [scan for scan in added._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in scan and "_part" in scan]
+    assert scans and not any("raw_data" in scan or "latest" in scan for scan in scans)
+
+
 def test_dense_key(spark, rows):
     df = spark.range(1000).select((F.col("id") * 37 % 1000).cast("string").alias("name"))
     keyed = positions.dense_key(df, ["name"], "key")
@@ -151,6 +186,29 @@ def test_snapshot_append_is_idempotent(spark, rows):
     assert rows(layers.read_snapshots(spark, path, day(0, 0))) == [(T[0].date(), 7), (T[1].date(), 2)]
 
 
+def test_snapshot_runs(spark, rows):
+    """Days in any order, replaced days, days of none and merges, against a dictionary; no stored row is written again
+    before a level is full, and older versions stay readable."""
+    path, rng = scratch_path(spark, "snap"), random.Random(5)
+    make = lambda days: spark.createDataFrame([(T[d].date() if d is not None else None, v) for d, v in days], "snapshot_date date, posting_count long").coalesce(1)
+    held, loose, old = {}, [], {}
+    for step in range(9):
+        days = [(d, rng.randint(0, 99)) for d in rng.sample(range(8), rng.randint(0, 3))] + ([(None, step)] if step % 4 == 0 else [])
+        before = set(versions.children(spark, f"{path}/data"))
+        layers.append_snapshot(make(days), path, runs=3)
+        held |= {T[d].date(): v for d, v in days if d is not None}
+        loose += [(None, v) for d, v in days if d is None]
+        old[step] = sorted([*held.items(), *loose], key=repr)
+        assert before <= set(versions.children(spark, f"{path}/data"))
+    for step, want in old.items():
+        assert rows(layers.read_snapshots(spark, path, make([(0, 0)]), step)) == want
+    runs = versions.load(spark, path)[1]["runs"]
+    assert len(runs) <= 2 * 3 and max(r["level"] for r in runs) >= 1
+    layers.drop_old_snapshots(spark, path, keep=1)
+    assert len(versions.children(spark, f"{path}/data")) == len(runs)
+    assert rows(layers.read_snapshots(spark, path, make([(0, 0)]))) == old[8]
+
+
 def test_run_log_and_health(spark):
     runs = spark.createDataFrame(
         [
