@@ -49,24 +49,23 @@ SCHEMAS = {
 
 
 def chats_with_tools(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Calls and results made of the chats' own turns: each assistant turn is a call whose arguments come from its text and
-    that needs the call at half its place; the text is also its result, for all turns but those divisible by seven, and
-    turns divisible by eleven answer a call that was never made."""
-    said = conversations.where("role = 'assistant'").withColumn("i", F.floor(F.col("turn") / 2))
+    """Calls and results made of the chats' own turns: each assistant turn is a call with its whole text in the
+    arguments, which from turn 3 on needs the call two turns before. The text is also its result; that of turns
+    divisible by eleven answers a call that was never made."""
+    said = conversations.where("role = 'assistant'")
     words = F.split("text", r"\s+")
-    up = F.col("turn") - 2 * (F.col("i") - F.floor((F.col("i") - 1) / 2))
     kind = F.pmod("turn", F.lit(5))
     arguments = (
-        F.when(kind == 1, F.to_json(F.struct(F.size(words).alias("limit"), F.array_join(F.slice(words, 1, 5), " ").alias("query"))))
-        .when(kind == 3, F.to_json(F.struct(F.slice(words, 1, 3).alias("words"))))
-        .otherwise(F.to_json(F.struct(words[0].alias("key"), F.size(words).alias("limit"))))
+        F.when(kind == 1, F.to_json(F.struct(F.size(words).alias("limit"), F.col("text").alias("query"))))
+        .when(kind == 3, F.to_json(F.struct(words.alias("words"))))
+        .otherwise(F.to_json(F.struct(words[0].alias("key"), F.size(words).alias("limit"), F.col("text").alias("about"))))
     )
     name = F.when(kind == 1, "search").when(kind == 3, "count").otherwise("lookup")
     call_id = F.concat(F.lit("c"), F.col("turn"))
-    needs = F.when(F.col("i") > 0, F.array(F.concat(F.lit("c"), up))).otherwise(F.array().cast("array<string>"))
+    needs = F.when(F.col("turn") > 2, F.array(F.concat(F.lit("c"), F.col("turn") - 2))).otherwise(F.array().cast("array<string>"))
     calls = said.select("conv_id", "turn", call_id.alias("call_id"), name.alias("name"), arguments.alias("arguments"), needs.alias("needs"))
     answered = F.when(F.col("turn") % 11 == 0, F.concat(F.lit("x"), F.col("turn"))).otherwise(call_id)
-    results = said.where("turn % 7 <> 0").select("conv_id", "turn", answered.alias("call_id"), F.col("text").alias("content"))
+    results = said.select("conv_id", "turn", answered.alias("call_id"), F.col("text").alias("content"))
     return calls, results
 
 

@@ -71,25 +71,50 @@ def parse(text: str | None) -> tuple[object, str | None]:
 _KEY = ["conv_id", "call_id"]
 
 
+def _anchored(links: DataFrame) -> DataFrame:
+    """(conv_id, call_id, at, steps) of calls with a single need, followed back to the first call that is none such.
+
+    Pointers double: each round a call takes over what the call it points at points at, so a chain of n calls takes about
+    log2(n) rounds. Those still moving when the steps exceed all links are on or behind a cycle; they point at a link.
+    """
+    moving, rounds = cut(links.select(*_KEY, F.col("need").alias("at"), F.lit(1).cast("long").alias("steps")), "links"), 0
+    most = moving.count()
+    while most >> rounds:
+        ahead = moving.select("conv_id", F.col("call_id").alias("at"), F.col("at").alias("next"), F.col("steps").alias("more"))
+        met = moving.join(ahead, ["conv_id", "at"], "left")
+        moving = cut(met.select(*_KEY, F.coalesce("next", "at").alias("at"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"), F.col("next").isNotNull().alias("moved")), "links")
+        still = moving.where("moved").limit(1).count()
+        moving, rounds = moving.drop("moved"), rounds + 1
+        if not still:
+            break
+    return moving
+
+
 def levels(calls: DataFrame, needs: DataFrame) -> DataFrame:
     """(conv_id, call_id, level): 0 without needs, else one above the highest need. Calls on or behind a cycle are left out.
 
-    Calls whose needs are all placed are peeled off, round by round; each round joins only the needs still open and is
-    written to the shared folder. Rounds are as many as the longest chain of needs, not the longest chat.
+    Calls with a single need follow their chain back to where it starts, by doubling pointers. What is left, calls with
+    several needs, is peeled off round by round: a round places those whose needs all start at placed calls. So rounds
+    are as many as the longest succession of calls with several needs, plus the logarithm of the longest chain. Each round
+    is written to the shared folder.
     """
-    left = cut(needs.distinct(), "needs")
-    waiting = left.select(*_KEY).distinct()
-    placed = cut(calls.join(waiting, _KEY, "left_anti").select(*_KEY, F.lit(0).alias("level")), "level")
-    out, level = placed, 0
+    distinct = cut(needs.distinct(), "needs")
+    sized = distinct.groupBy(*_KEY).agg(F.count("*").alias("_n"), F.min("need").alias("need"))
+    chained = _anchored(sized.where("_n = 1"))
+    start = chained.select("conv_id", F.col("call_id").alias("need"), "at", "steps")
+    joins = distinct.join(sized.where("_n > 1").select(*_KEY), _KEY, "left_semi").join(start, ["conv_id", "need"], "left")
+    left = cut(joins.select(*_KEY, F.coalesce("at", "need").alias("at"), (F.coalesce("steps", F.lit(0)) + 1).alias("steps"), F.lit(None).cast("long").alias("level")), "joins")
+    placed = cut(calls.join(sized, _KEY, "left_anti").select(*_KEY, F.lit(0).cast("long").alias("level")), "level")
+    out = placed
     while left.limit(1).count():
-        done = placed.select("conv_id", F.col("call_id").alias("need"))
-        rest = cut(left.join(done, ["conv_id", "need"], "left_anti"), "needs")
-        level += 1
-        placed = cut(left.select(*_KEY).distinct().join(rest.select(*_KEY).distinct(), _KEY, "left_anti").select(*_KEY, F.lit(level).alias("level")), "level")
+        new = placed.select("conv_id", F.col("call_id").alias("at"), F.col("level").alias("_level"))
+        left = cut(left.join(new, ["conv_id", "at"], "left").select(*_KEY, "at", "steps", F.coalesce("level", F.col("_level") + F.col("steps")).alias("level")), "joins")
+        placed = cut(left.groupBy(*_KEY).agg(F.max("level").alias("level"), F.count("level").alias("_met"), F.count("*").alias("_all")).where("_met = _all").select(*_KEY, "level"), "level")
         if not placed.limit(1).count():
             break
-        out, left = out.unionByName(placed), rest
-    return out
+        out, left = out.unionByName(placed), left.join(placed.select(*_KEY), _KEY, "left_anti")
+    ends = out.select("conv_id", F.col("call_id").alias("at"), "level")
+    return out.unionByName(chained.join(ends, ["conv_id", "at"]).select(*_KEY, (F.col("level") + F.col("steps")).alias("level"))).withColumn("level", F.col("level").cast("int"))
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: Mapping[str, Mapping]) -> DataFrame:

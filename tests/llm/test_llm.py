@@ -2,6 +2,7 @@
 empty tables and extra columns with clashing names."""
 
 import hashlib
+import json
 import math
 import random
 import re
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from jobloom.llm import common, components, dac, kneser_ney, lsh, mixing, phrases, pii, sharding, simhash, tool_calls, url_filter
-from jobloom.llm.queries import RULES, tokenizer_path
+from jobloom.llm.queries import RULES, SCHEMAS, chats_with_tools, tokenizer_path
 from jobloom.session import cut
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, id long, chunk string, size int, _slot int"
@@ -257,6 +258,38 @@ def test_levels_against_brute_force(spark):
     assert {(r[0], r[1]): r[2] for r in got.collect()} == level
 
 
+def test_long_chains_take_few_rounds(spark, monkeypatch):
+    """A chain of 10,000 calls, chains that meet, calls on a cycle and calls behind one."""
+    written = []
+    monkeypatch.setattr(tool_calls, "cut", lambda df, label: (written.append(label), cut(df, label))[1])
+    needs = [(1, str(i), str(i - 1)) for i in range(1, 10_000)]
+    needs += [(2, "a1", "a0"), (2, "a2", "a1"), (2, "b1", "b0"), (2, "m", "a2"), (2, "m", "b1"), (2, "m", "b0"), (2, "n", "m"), (2, "o", "n"), (2, "p", "o"), (2, "p", "a1")]
+    needs += [(3, "x", "y"), (3, "y", "z"), (3, "z", "x"), (3, "s", "s"), (3, "behind", "x"), (3, "both", "x"), (3, "both", "free"), (3, "after", "both"), (3, "fine", "free")]
+    known = {(c, n) for c, *pair in needs for n in pair}
+    got = tool_calls.levels(spark.createDataFrame(sorted(known), "conv_id long, call_id string"), spark.createDataFrame(needs, "conv_id long, call_id string, need string"))
+    level = {(r[0], r[1]): r[2] for r in got.collect()}
+    assert {k[1]: n for k, n in level.items() if k[0] == 1} == {str(i): i for i in range(10_000)}
+    assert {k[1]: n for k, n in level.items() if k[0] == 2} == {"a0": 0, "b0": 0, "a1": 1, "b1": 1, "a2": 2, "m": 3, "n": 4, "o": 5, "p": 6}
+    assert {k[1]: n for k, n in level.items() if k[0] == 3} == {"free": 0, "fine": 1}
+    assert written.count("links") <= 16
+
+
+def test_chats_with_tools(spark):
+    """Every assistant turn is a call with its whole text and has its result; calls of a chat are one chain."""
+    long = "word " * 5000 + "end"
+    said = [(1, t, "assistant" if t % 2 else "user", long if t == 3 else f"text {t}\n") for t in range(30)] + [(2, 0, "system", "s"), (2, 2, "assistant", "")]
+    calls, results = chats_with_tools(spark.createDataFrame(said, "conv_id long, turn long, role string, text string"))
+    got = {(r["conv_id"], r["turn"], r["status"]): r for r in tool_calls.link(calls, results, SCHEMAS).collect()}
+    spoken = [(c, t, text) for c, t, role, text in said if role == "assistant"]
+    assert len(got) == len(spoken) + sum(t % 11 == 0 for _, t, _ in spoken)
+    for c, t, text in spoken:
+        row = got[c, t, "no_result" if t % 11 == 0 else "linked"]
+        record = json.loads(row["json"])
+        assert row["level"] == (t - 1) // 2 and row["position"] == row["level"] + 1
+        assert record["result"] == (None if t % 11 == 0 else text)
+        assert text in record["arguments"].values() or record["arguments"]["words"] == re.split(r"\s+", text)
+
+
 # 4 urls
 
 URLS = [None, "", "no scheme", "http://", "https://A.Example.COM/en/1?x=1#f", "http://www.example.com/en/", "http://x.www.example.com/en/2", "http://b.net/es/9", "http://net/fr/", "http://b.net/de/",
