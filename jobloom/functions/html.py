@@ -20,7 +20,9 @@ _BLANK_NAMES = "|".join(sorted(name[:-1] for name, text in html5.items() if name
 _BLANK_NUMBERS = "|".join(f"#0*{ord(b)}(?![0-9])|#[xX]0*(?i:{ord(b):x})(?![0-9A-Fa-f])" for b in _BLANKS)
 #: HTML that shows no text: tags, blanks and references to blanks.
 _NO_TEXT = rf"^(?:<[^>]*>|[{_BLANKS}]|&(?:(?:{_BLANK_NAMES});|(?:{_BLANK_NUMBERS});?))*+$"
-_UNSEEN = r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>"
+_UNSEEN = r"(?is)<(?:!--.*?-->|(script|style)\b.*?</\1\s*>)"
+#: The name of any tag; possessive, since no part of a name ends at a word's end.
+ANY_TAG = r"\w++"
 #: Numbers 128 to 159 mean the signs of Windows-1252.
 _WINDOWS = "".join(bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(128, 160))
 
@@ -51,13 +53,14 @@ class Rule:
     element: str | None = None
 
 
-def tag_with_class(name: str, tag: str = r"\w+", part: bool = False) -> Opening:
+def tag_with_class(name: str, tag: str = ANY_TAG, part: bool = False) -> Opening:
     """An opening tag that has class `name` (part=True: a class attribute that contains it)."""
-    word = name if part else rf"(?<![\w-]){name}(?![\w-])"
-    return Opening(tag, rf"\b[^>]*?\bclass=[\"'][^\"']*?{word}[^\"']*[\"'][^>]*>", name)
+    # Plain letters come before the look behind them, which would else be made at every character.
+    word = name if part else rf"{name}(?<![\w-]{name})(?![\w-])"
+    return Opening(tag, rf"\b[^>]*?class(?<=\bclass)=[\"'][^\"']*?{word}[^\"']*[\"'][^>]*>", name)
 
 
-def tag_with_attribute(attribute: str, value: str | None = None, tag: str = r"\w+") -> Opening:
+def tag_with_attribute(attribute: str, value: str | None = None, tag: str = ANY_TAG) -> Opening:
     wanted = rf"=[\"']{value}[\"']" if value is not None else r"=[\"'][^\"']*[\"']"
     return Opening(tag, rf"\b[^>]*?\s{attribute}{wanted}[^>]*>", value or attribute)
 
@@ -127,40 +130,44 @@ def plain_text(html: Column) -> Column:
 # --- where an element ends ------------------------------------------------------------------------------------------
 
 
-_ANY_TAG = r"\w+"
-
-
 def _cut_at_tags(html: Column, tag: Column) -> Column:
-    """Pieces of which each, but the first, starts with an opening or closing tag of the name."""
-    return F.split(html, F.concat(F.lit("(?i)(?=</?"), tag, F.lit(r"[\s/>])")))
+    """Pieces of which each, but the first, is what follows the "<" of an opening or closing tag of the name. A tag at the
+    very start is part of the first. The "<" is matched and not only looked at: it is tried at every character."""
+    return F.split(html, F.concat(F.lit(r"(?i)<(?<!\A<)(?=/?"), tag, F.lit(r"[\s/>])")))
 
 
 def _name(tag: str, html: Column, opening: str) -> Column:
-    return F.regexp_extract(html, opening, 1) if tag == _ANY_TAG else F.lit(tag)
+    return F.regexp_extract(html, opening, 1) if tag == ANY_TAG else F.lit(tag)
 
 
 def _length_until_closed(pieces: Column, of_closing: Callable[[Column], Column]) -> Column:
     """Characters from inside an element, one level deep at the start of `pieces`, to where it closes: all if it does not.
 
-    `of_closing` says how much of the piece with the closing tag still counts. A state of three numbers runs over the
+    `of_closing` says how much of the closing tag and what follows it still counts, given its piece. A state of three numbers runs over the
     pieces; no piece is kept.
     """
     start = F.struct(F.lit(1).alias("depth"), F.length(pieces[0]).alias("length"))
 
     def step(state: Column, piece: Column) -> Column:
-        closing = piece.startswith("</")
-        turn = F.when(closing, -1).when(piece.rlike(r"^<[^>]*/>"), 0).otherwise(1)
+        closing = piece.startswith("/")
+        turn = F.when(closing, -1).when(piece.rlike(r"^[^>]*/>"), 0).otherwise(1)
         depth = F.when(state["depth"] == 0, 0).otherwise(state["depth"] + turn)
-        more = F.when(state["depth"] == 0, 0).when(depth == 0, of_closing(piece)).otherwise(F.length(piece))
+        more = F.when(state["depth"] == 0, 0).when(depth == 0, of_closing(piece)).otherwise(F.length(piece) + 1)
         return F.struct(depth.cast("int").alias("depth"), (state["length"] + more).cast("int").alias("length"))
 
     return F.aggregate(F.slice(pieces, F.lit(2), F.size(pieces)), start, step)["length"]
 
 
-def whole_element(html: Column, tag: str = _ANY_TAG) -> Column:
+def _with_bracket(closing: Column) -> Column:
+    """Characters of a closing tag up to its ">"; none if it has none."""
+    end = F.locate(">", closing)
+    return F.when(end > 0, end + 1).otherwise(0)
+
+
+def whole_element(html: Column, tag: str = ANY_TAG) -> Column:
     """The element that `html` starts with, closing tag included; all of it if it is never closed."""
     pieces = _cut_at_tags(html, _name(tag, html, r"^<(\w+)"))
-    return _once(pieces, lambda p: F.substring(html, F.lit(1), _length_until_closed(p, lambda last: F.locate(">", last))))
+    return _once(pieces, lambda p: F.substring(html, F.lit(1), _length_until_closed(p, _with_bracket)))
 
 
 def _inside(html: Column, rule: Rule) -> Column:
@@ -237,8 +244,9 @@ def cards(html: Column, layout: CardLayout) -> Column:
         if isinstance(start, tuple):
             container, start = start
             page = F.regexp_extract(page, rf"(?s){container.regex}(.*)$", 1)
-        chunks = F.filter(F.split(page, rf"(?s)(?={start.regex})"), lambda c: c.rlike(rf"(?s)^{start.regex}"))
-        return F.transform(chunks, lambda c: whole_element(c, start.tag))
+        parts = F.split(page, rf"(?s)<(?={start.regex[1:]})")
+        chunks = F.transform(F.slice(parts, F.lit(2), F.size(parts)), lambda p: F.concat(F.lit("<"), p))
+        return F.transform(F.filter(chunks, lambda c: c.rlike(rf"(?s)^{start.regex}")), lambda c: whole_element(c, start.tag))
 
     def first_found(page: Column) -> Column:
         found = [_once(pieces(page, start), lambda f: F.when(F.size(f) > 0, f)) for start in layout.starts]

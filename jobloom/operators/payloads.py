@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobloom.functions.html import (
+    ANY_TAG,
     CardLayout,
     Opening,
     Rule,
@@ -232,17 +233,22 @@ def unless_equal(text: Column, other: Column) -> Column:
 # --- HTML layouts (fixed values: the sites' class and attribute names) ----------------------------------------------
 
 
-def _classed(name: str, tag: str = r"\w+", part: bool = False) -> Rule:
+def _classed(name: str, tag: str = ANY_TAG, part: bool = False) -> Rule:
     return text_of(tag_with_class(name, tag, part))
 
 
-def _marked(attribute: str, value: str, tag: str = r"\w+") -> Rule:
+def _marked(attribute: str, value: str, tag: str = ANY_TAG) -> Rule:
     return text_of(tag_with_attribute(attribute, value, tag))
 
 
+def _before(end: str) -> str:
+    """Regex of a step through what lies before a tag `end`: a whole stretch without a tag, or a "<" that does not start it."""
+    return rf"(?:[^<]++|<(?!{end}))"
+
+
 def _icon_row(icon: str) -> Rule:
     """Inner HTML of the div around an icon."""
-    return Rule(rf"(?s)<(div)\b[^>]*>(?=(?:(?!<div\b|</div>).)*{tag_with_class(icon).regex})", icon, element="div")
+    return Rule(rf"(?s)<(div)\b[^>]*>(?={_before(r'div\b|/div>')}*?{tag_with_class(icon).regex})", icon, element="div")
 
 
 PHILJOBNET_CARDS = CardLayout(
@@ -287,7 +293,7 @@ ONLINEJOBS_CARDS = CardLayout(
     starts=[tag_with_class("jobpost-cat-box", "div")],
     texts={
         "badge": [
-            Rule(rf"(?s){_HEADING}(?:(?!</h4>).)*?<(span){_BADGE.rest}", "badge", element="span")
+            Rule(rf"(?s){_HEADING}{_before('/h4>')}*?<(span){_BADGE.rest}", "badge", element="span")
         ],
         "salary_raw": [
             Rule(rf"(?s)<dl\b[^>]*\bno-gutters\b[^>]*>.*?<(dd){tag_with_class('col', 'dd').rest}", "no-gutters", element="dd")
@@ -307,9 +313,9 @@ INDEED_CARDS = CardLayout(
     ],
     texts={
         "title": [
-            Rule(rf"(?s){_JOB_TITLE}\s*<a\b[^>]*>(?:(?!</a>).)*?<(span)\b[^>]*\stitle=[^>]*>", "jobTitle", element="span"),
-            Rule(rf"(?s){_JOB_TITLE}(?:(?!</h2>).)*?<(a)\b[^>]*>", "jobTitle", element="a"),
-            Rule(r"(?s)<h[23]\b[^>]*>(?:(?!</h[23]>).)*?<(a)\b[^>]*>", "<a", element="a"),
+            Rule(rf"(?s){_JOB_TITLE}\s*<a\b[^>]*>{_before('/a>')}*?<(span)\b[^>]*\stitle=[^>]*>", "jobTitle", element="span"),
+            Rule(rf"(?s){_JOB_TITLE}{_before('/h2>')}*?<(a)\b[^>]*>", "jobTitle", element="a"),
+            Rule(rf"(?s)<h[23]\b[^>]*>{_before('/h[23]>')}*?<(a)\b[^>]*>", "<a", element="a"),
         ],
         "company": [
             _marked("data-testid", "company-name"),
@@ -335,7 +341,7 @@ INDEED_CARDS = CardLayout(
     },
     attributes={
         "job_key": [Rule(r"(?s)<(\w+)\b[^>]*\sdata-jk=[\"']([^\"']*)[\"']", "data-jk")],
-        "href": [Rule(r"(?s)<h[23]\b[^>]*>(?:(?!</h[23]>).)*?<(a)\b[^>]*\shref=[\"']([^\"']*)[\"']", "href")],
+        "href": [Rule(rf"(?s)<h[23]\b[^>]*>{_before('/h[23]>')}*?<(a)\b[^>]*\shref=[\"']([^\"']*)[\"']", "href")],
     },
 )
 

@@ -1,8 +1,11 @@
 import json
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from jobloom.functions.html import Opening, tag_with_class, whole_element, without_element
 from jobloom.operators import payloads
 
 
@@ -181,3 +184,29 @@ def test_plans_of_cards_stay_small(spark):
     for layout in ("philjobnet_html", "jobstreet_html", "onlinejobs_html", "indeed_html"):
         plan = payloads.flatten(df, layout)._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("CounterClockwiseContourIntegral") <= 2 and plan.count("regexp_extract") < 100 and len(plan) < 150_000
+
+
+def test_regexes_take_text_in_stretches(spark):
+    """Text between tags is passed in whole stretches, not tried character by character; what is found stays the same."""
+    df = spark.range(1).selectExpr("'s' AS source", "1 AS page_no", "cast(id AS string) AS payload")
+    for layout in ("philjobnet_html", "jobstreet_html", "onlinejobs_html", "indeed_html"):
+        plan = payloads.flatten(df, layout)._jdf.queryExecution().optimizedPlan().toString()
+        assert ").)*" not in plan and r"(?=<\w" not in plan and "(?i)(?=</?" not in plan
+
+    slow = r"<\w+\b[^>]*?\bclass=[\"'][^\"']*?(?<![\w-])salary(?![\w-])[^\"']*[\"'][^>]*>"
+    rows = [(rf"(?s){slow}", rf"(?s){tag_with_class('salary').regex}")]
+    for end, after in (("div\\b|/div>", slow), ("/a>", "<(span)\\b"), ("/h[23]>", "<(a)\\b")):
+        negative = "|".join(f"<{e}" for e in end.split("|"))
+        rows.append((rf"(?s)<(div|h2)\b[^>]*>(?:(?!{negative}).)*?{after}", rf"(?s)<(div|h2)\b[^>]*>{payloads._before(end)}*?{after}"))
+    pick = random.Random(5)
+    parts = ["<div", "</div>", "<a", "</a>", "<h2", "</h3>", "<span", ">", " class='", "xclass='", "class=\"", "salary", "-salary", " ", "'", '"', "x", "\n", "<"]
+    for text in ("".join(pick.choices(parts, k=25)) for _ in range(500)):
+        for old, new in rows:
+            assert [m.span() for m in re.finditer(old, text)] == [m.span() for m in re.finditer(new, text)], text
+
+
+def test_a_tag_at_the_start_is_no_tag_inside(spark):
+    html = F.lit("<b><b>x</b><b/>y</b >z</b>")
+    cut_off = F.lit("<b>x</b")
+    got = spark.range(1).select(whole_element(html), whole_element(cut_off), whole_element(html, "b"), without_element(html, Opening("b", "/>", "b"))).first()
+    assert tuple(got) == ("<b><b>x</b><b/>y</b >", "<b>x</b", "<b><b>x</b><b/>y</b >", "<b><b>x</b>z</b>")
