@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from jobloom.functions.text import whole_word
 from jobloom.operators import skills
+from jobloom.session import balance, settings
 from jobloom.sources.raw import read_seed
 
 
@@ -125,3 +126,21 @@ def test_large_dictionary_joined_equals_compiled(spark, rows):
     texts = spark.createDataFrame([(i, " ".join(rng.choice(vocabulary).title() if rng.random() < 0.2 else rng.choice(vocabulary) for _ in range(60))) for i in range(120)], "id long, t string")
     run = lambda method: skills.match_terms(texts, ["id"], ["t"], [], dictionary, method=method)
     assert rows(run("joined")) == rows(run("compiled")) != []
+
+
+def test_phrases_are_sought_in_any_case_and_checked_as_words(spark):
+    dictionary = spark.createDataFrame([("Google Cloud", "GC", "c"), (r"Node\.js", "Node", "c"), ("Go", "Go", "c"), (r"v\d+ beta", "Beta", "c")], "pattern string, canonical_name string, category string")
+    texts = ["GOOGLE cloud", "a Google CloudX", "google\ncloud", "İ NODE.JS, go", "nodeXjs", "V12 BETA", "google Cloud2 Google Cloud", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    pairs = skills.match_terms(rows, ["id"], ["text"], [], dictionary, method="compiled")
+    assert sorted((r.id, r.skill_name) for r in pairs.collect()) == [(0, "GC"), (3, "Go"), (3, "Node"), (5, "Beta"), (6, "GC")]
+    assert "array_intersect" not in pairs._jdf.queryExecution().optimizedPlan().toString()  # it would build its set for each row
+
+
+def test_balance_asks_for_several_tasks_a_core(spark):
+    keys = ("spark.sql.files.minPartitionNum", "spark.sql.adaptive.coalescePartitions.minPartitionNum")
+    with settings(spark, {keys[0]: "3"}):
+        before = spark.conf.get(keys[1], None)
+        balance(spark)
+        assert spark.conf.get(keys[0]) == "3"
+        assert int(spark.conf.get(keys[1])) == int(before or 4 * spark.sparkContext.defaultParallelism)
