@@ -82,8 +82,13 @@ def _filled(text: Column) -> Column:
     return F.when(~text.isin("", "0", "0.0", "false"), text)
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)`, with a value that is worked out once however often `use` reads it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _first_filled(arrays: Sequence[Column]) -> Column:
-    return F.coalesce(*[F.when(F.size(a) > 0, a) for a in arrays])
+    return F.coalesce(*[_once(a, lambda found: F.when(F.size(found) > 0, found)) for a in arrays])
 
 
 def _is_object(node: Column) -> Column:
@@ -129,15 +134,30 @@ def api_posting(job: Column) -> Column:
     )
 
 
-def _board_posting(job: Column, company: Column, location: Column, employment: Column, job_id: Column) -> Column:
+#: What board postings are read from, taken out of each job at once; a part of another kind is NULL, a number is its text.
+BOARD_JOB = (
+    "struct<id string, jobId string, title string, salary string, teaser string, listingDate string, workType string, "
+    "location string, locationLabel string, advertiser struct<name string, description string>>"
+)
+
+
+def _board_jobs(payload: Column, paths: Sequence[str]) -> Column:
+    """Jobs of the first path that has any, each as BOARD_JOB; a payload is parsed once for all paths."""
+    return _once(
+        F.try_parse_json(payload),
+        lambda node: _first_filled([F.try_variant_get(node, f"$.{path}", f"array<{BOARD_JOB}>") for path in paths]),
+    )
+
+
+def _board_posting(job: Column | dict[str, Column], company: Column, location: Column, employment: Column, job_id: Column) -> Column:
     return _posting(
         source_id=F.concat(F.lit("jobstreet_"), job_id),
-        title=_text(job, "title"),
+        title=job["title"],
         company=company,
         location=location,
-        salary_raw=_text(job, "salary"),
-        description=_text(job, "teaser"),
-        posted_date=_text(job, "listingDate"),
+        salary_raw=job["salary"],
+        description=job["teaser"],
+        posted_date=job["listingDate"],
         employment_type=employment,
         url=F.concat(F.lit(f"{JOBSTREET}/job/"), job_id),
     )
@@ -145,17 +165,16 @@ def _board_posting(job: Column, company: Column, location: Column, employment: C
 
 def state_items(payload: Column) -> Column:
     """Page state: results.results.jobs, else jobsPage.jobs."""
-    node = F.try_parse_json(payload)
-    return _first_filled([_items(node, "results.results.jobs"), _items(node, "jobsPage.jobs")])
+    return _board_jobs(payload, ("results.results.jobs", "jobsPage.jobs"))
 
 
 def state_posting(job: Column) -> Column:
     return _board_posting(
         job,
-        _text(job, "advertiser.description"),
-        _text(job, "location"),
-        _text(job, "workType"),
-        _filled(_text(job, "id")),
+        job["advertiser"]["description"],
+        job["location"],
+        job["workType"],
+        _filled(job["id"]),
     )
 
 
@@ -175,7 +194,7 @@ def entity_items(payload: Column) -> Column:
 def entity_posting(entry: Column) -> Column:
     job = entry["value"]
     return _board_posting(
-        job,
+        {name: _text(job, name) for name in ("title", "salary", "teaser", "listingDate")},
         _text(job, "advertiser.name"),
         _text(job, "location.label"),
         _text(job, "workTypes[0]"),
@@ -185,17 +204,16 @@ def entity_posting(entry: Column) -> Column:
 
 def ssr_items(payload: Column) -> Column:
     """Server-side props: the first non-empty of four paths below props.pageProps."""
-    node = F.try_parse_json(payload)
-    return _first_filled([_items(node, f"props.pageProps.{path}") for path in SSR_PATHS])
+    return _board_jobs(payload, [f"props.pageProps.{path}" for path in SSR_PATHS])
 
 
 def ssr_posting(job: Column) -> Column:
     return _board_posting(
         job,
-        F.coalesce(_filled(_text(job, "advertiser.name")), _text(job, "advertiser.description")),
-        F.coalesce(_filled(_text(job, "locationLabel")), _text(job, "location")),
-        _text(job, "workType"),
-        F.coalesce(_filled(_text(job, "id")), _filled(_text(job, "jobId"))),
+        F.coalesce(_filled(job["advertiser"]["name"]), job["advertiser"]["description"]),
+        F.coalesce(_filled(job["locationLabel"]), job["location"]),
+        job["workType"],
+        F.coalesce(_filled(job["id"]), _filled(job["jobId"])),
     )
 
 

@@ -210,3 +210,24 @@ def test_a_tag_at_the_start_is_no_tag_inside(spark):
     cut_off = F.lit("<b>x</b")
     got = spark.range(1).select(whole_element(html), whole_element(cut_off), whole_element(html, "b"), without_element(html, Opening("b", "/>", "b"))).first()
     assert tuple(got) == ("<b><b>x</b><b/>y</b >", "<b>x</b", "<b><b>x</b><b/>y</b >", "<b><b>x</b>z</b>")
+
+
+@pytest.mark.parametrize("layout", ["ssr", "state"])
+def test_board_payloads_are_parsed_once(spark, layout):
+    df = spark.createDataFrame([("s", 1, "{}")], "source string, page_no int, payload string")
+    plan = payloads.flatten(df, layout)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") == 1
+
+
+def test_ssr_jobs_of_odd_kinds(spark):
+    jobs = [
+        "text", 5, None, [], {}, {"id": 1.50, "title": True, "advertiser": "x", "salary": {"a": [1, None]}, "teaser": 1e20, "workType": 12345678901234567890},
+        {"id": "0", "jobId": 8, "advertiser": {"name": 3, "description": None}, "location": ["L"]}, {"id": False, "jobId": "j", "advertiser": {"description": "D"}},
+    ]
+    rows = flat(spark, "ssr", {"props": {"pageProps": {"jobResults": {"jobs": "none"}, "results": {"jobs": jobs}, "jobs": [{"id": 9}]}}}, {"props": 1}, "{")
+    got = [(r.source_id, r.title, r.company, r.location, r.salary_raw, r.description, r.employment_type) for r in rows]
+    assert got == [
+        ("jobstreet_1.5", "true", None, None, '{"a":[1,null]}', "1.0E20", "12345678901234567890"),
+        ("jobstreet_8", None, "3", '["L"]', None, None, None),
+        ("jobstreet_j", None, "D", None, None, None, None),
+    ]
