@@ -133,13 +133,14 @@ class Encoder:
         out = [(x, "") if x.isalpha() else (x[:-1], x[-1:]) for x in piece.split("\n")]
         return out if all(w.isalpha() and (not s or s in self.signs) for w, s in out) else None
 
-    def _learn(self, pieces: list[str], heads: list[str]) -> None:
+    def _learn(self, pieces: set[str], heads: list[str]) -> None:
         """Encode new pieces, which follow a space, from their words where they are made of words; the first words of texts
         are learned as if they stood behind a line end."""
         signs = self.signs
-        alone = {p for p in pieces if p.isalpha()}
-        signed = [p for p in pieces if p[-1:] in signs and p[:-1].isalpha()]
-        split = [(p, x) for p in pieces if "\n" in p and (x := self._parts(p))]
+        alone = set(filter(str.isalpha, pieces))
+        mixed = pieces - alone
+        signed = [p for p in mixed if p[-1:] in signs and p[:-1].isalpha()]
+        split = [(p, x) for p in mixed if "\n" in p and (x := self._parts(p))]
         first = [x for x in map(self._parts, heads) if x]
         self._words(alone.union((p[:-1] for p in signed), (x[0][0] for _, x in split)), " ", self.known)
         self._words({w for _, x in split for w, _ in x[1:]}.union(w for x in first for w, _ in x), "\n", self.lines)
@@ -147,28 +148,30 @@ class Encoder:
         known.update([(p, known[p[:-1]] + signs[p[-1]]) for p in signed])
         for p, ((word, sign), *more) in split:
             known[p] = b"".join((known[word], signs[sign], *(x for w, s in more for x in (lines[w], signs[s]))))
-        other = [p for p in pieces if p not in self.known]
+        other = [p for p in mixed if p not in known]
         self.known.update(zip(other, self._encode([" " + p for p in other])))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids per text."""
-        split = []
+        split, heads = [], []
         for t in texts:
             whole = _INSIDE.search(t) or any(s in t for s in self.special)
-            split.append([] if whole else t.split(" "))
-        pieces = set(chain.from_iterable(s[1:] for s in split))
+            head, *pieces = [t] if whole else t.split(" ")
+            heads.append(None if whole else head)
+            split.append(pieces)
+        pieces = set(chain.from_iterable(split))
         if len(self.known) > MEMORY:  # what is in use now is kept, as it is likely common
             self.known = {p: self.known[p] for p in pieces if p in self.known}
             self.lines = {}
-        self._learn([p for p in pieces if p not in self.known], [s[0] for s in split if s])
+        self._learn(pieces.difference(self.known), [h for h in heads if h is not None])
         known, lines, signs = self.known, self.lines, self.signs
         line = len(self._line)
-        begun = [self._parts(s[0]) if s else None for s in split]
-        rest = iter(self._encode([s[0] if s else t for t, s, x in zip(texts, split, begun) if not x]))
+        begun = [None if h is None else self._parts(h) for h in heads]
+        rest = iter(self._encode([t if h is None else h for t, h, x in zip(texts, heads, begun) if not x]))
         out = []
         for pieces, parts in zip(split, begun):
             head = b"".join([y for w, s in parts for y in (lines[w], signs[s])])[line:] if parts else next(rest)
-            out.append(head + b"".join([known[p] for p in pieces[1:]]))
+            out.append(head + b"".join(map(known.__getitem__, pieces)))
         return out
 
 
