@@ -13,13 +13,13 @@ from __future__ import annotations
 import os
 import sys
 import zlib
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Iterable, Iterator
+from itertools import chain, count, repeat
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,10 +29,15 @@ from jobloom.session import cut
 END_ID = 2
 SEGMENT_TOKENS = 1_000_000
 RANK_BITS = 512
-#: Entries after which a worker's memory of encoded pieces starts afresh; it only saves time.
+#: Entries, and bytes of their texts, after which a worker's memory of encoded pieces starts afresh; it only saves time.
 MEMORY = 900_000
+MEMORY_BYTES = 32 * 1024 * 1024
 #: Texts or pieces that the library encodes in one call; its results take far more room than ids.
 AT_ONCE = 200
+#: Bytes of the longest piece that is put into one text with others.
+LONGEST = 64
+#: Bytes of texts that are cut into pieces at once; one text may be longer.
+BYTES_AT_ONCE = 4 * 1024 * 1024
 
 
 class Level(NamedTuple):
@@ -81,16 +86,31 @@ def unpack(levels: list[Level]) -> np.ndarray:
     return values
 
 
-#: Fixed value: a run of white space is cut before a space that it holds in its middle nowhere else than here.
-_INSIDE = regex.compile(r"\s \s")
+#: What the library may take for white space. A run of it is cut before a space that it holds in its middle nowhere else
+#: than in `_INSIDE`.
+_SPACE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_INSIDE = f"{_SPACE} {_SPACE}"
+#: Begins a piece that stands behind a line end, or at the start of a text; texts that hold it are encoded in one go.
+_LINE = "\x00"
+SIGNS = ".,;:!?"
+_CUT = rf"([\pL{SIGNS}])\n(\pL)"
+_SIGNED = rf"^\x00?\pL+[{SIGNS}]$"
+#: Pieces that are not put into one text with others.
+_ODD = rf"{_SPACE}|^\x00?$"
+
+
+def _strings(texts: pa.Array) -> list[str]:
+    return texts.to_numpy(zero_copy_only=False).tolist()  # several times faster than to_pylist
 
 
 class Encoder:
     """Ids of whole texts by the tokenizers library, remembering pieces that come again.
 
     The byte-level vocabulary never joins across a space that begins a run of white space or stands before other text, so
-    a text is the concatenation of its pieces cut before each such space. Texts with a space inside longer white space, or
-    with a special token, are encoded in one go.
+    a text is the concatenation of its pieces cut before each such space, and before a line end alone between letters or
+    signs. Texts with a space inside longer white space, or with a special token, are encoded in one go.
+
+    The ids of piece n are `ids[bounds[n] : bounds[n + 1]]`; the first pieces are the signs.
     """
 
     def __init__(self, path: str):
@@ -103,76 +123,101 @@ class Encoder:
         self.width = np.zeros(self.tokenizer.get_vocab_size(), dtype=np.int64)
         for token, number in self.tokenizer.get_vocab().items():
             self.width[number] = len(token)
-        self.signs = {"": b"", **dict(zip(".,;:!?", self._encode(list(".,;:!?"))))}
         self._line = self._encode(["\n"])[0]
-        self.known: dict[str, bytes] = {}
-        self.lines: dict[str, bytes] = {}
+        self.known: dict[str, int] = {}
+        self.known_bytes = 0
+        self.ids, self.bounds = np.zeros(0, "<u4"), np.zeros(1, np.int64)
+        self._add((), self._encode(list(SIGNS)))
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
         some = (texts[i : i + AT_ONCE] for i in range(0, len(texts), AT_ONCE))
-        return [np.array(e.ids, dtype="<u4").tobytes() for part in some for e in self.tokenizer.encode_batch(part, add_special_tokens=False)]
-
-    def _words(self, words: set[str], before: str, known: dict[str, bytes]) -> None:
-        """Learn words that stand behind `before`, a space or a line end: they are put into one text, whose tokens are told
-        apart by their lengths."""
-        new = [w for w in words if w not in known]
-        for i in range(0, len(new), 10 * AT_ONCE):
-            some = new[i : i + 10 * AT_ONCE]
-            ids = np.array(self.tokenizer.encode(before + before.join(some), add_special_tokens=False).ids, dtype="<u4")
-            ends = np.cumsum([len(p.encode()) + 1 for p in some])
+        return [np.array(e.ids, dtype="<u4") for part in some for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+
+    def _alone(self, pieces: list[str]) -> list[np.ndarray]:
+        coded = self._encode([p[1:] if p[:1] == _LINE else " " + p for p in pieces])
+        return [np.concatenate((self._line, x)) if p[:1] == _LINE else x for p, x in zip(pieces, coded)]
+
+    def _add(self, pieces: Iterable[str], ids: list[np.ndarray], sizes: np.ndarray | None = None) -> np.ndarray:
+        """Remember new pieces and their ids: one array for each, or any with the sizes of the pieces. Returns their numbers."""
+        sizes = np.array([len(x) for x in ids], dtype=np.int64) if sizes is None else sizes
+        first = len(self.bounds) - 1
+        self.known.update(zip(pieces, count(first)))
+        self.ids = np.concatenate((self.ids, *ids))
+        self.bounds = np.concatenate((self.bounds, self.bounds[-1] + np.cumsum(sizes)))
+        return np.arange(first, first + len(sizes))
+
+    def _take(self, numbers: np.ndarray, skipped: np.ndarray | int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of these pieces one behind the other, without the first `skipped` of each, and their counts."""
+        first = self.bounds[numbers] + skipped
+        sizes = self.bounds[numbers + 1] - first
+        shift = first + sizes - np.cumsum(sizes)
+        return self.ids[np.repeat(shift, sizes) + np.arange(sizes.sum())], sizes
+
+    def _words(self, words: list[str]) -> np.ndarray:
+        """Numbers of new words without white space: they are put into one text, whose tokens are told apart by their lengths."""
+        coded, sizes = [], []
+        for i in range(0, len(words), 10 * AT_ONCE):
+            some = words[i : i + 10 * AT_ONCE]
+            ids = self._encode([(" " + " ".join(some)).replace(" " + _LINE, "\n")])[0]
+            ends = np.cumsum([len(w.encode()) + (w[0] != _LINE) for w in some])
             reached = np.cumsum(self.width[ids])
             cuts = np.searchsorted(reached, ends) + 1
             if np.array_equal(reached[cuts - 1], ends):
-                data, cuts = ids.tobytes(), (4 * cuts).tolist()
-                known.update((p, data[s:e]) for p, s, e in zip(some, [0, *cuts], cuts))
+                coded.append(ids)
+                sizes.append(np.diff(cuts, prepend=0))
             else:
-                known.update(zip(some, self._encode([before + p for p in some])))
-
-    def _parts(self, piece: str) -> list[tuple[str, str]] | None:
-        """(word, sign behind it or nothing) of each line of a piece, or None if it holds anything else."""
-        out = [(x, "") if x.isalpha() else (x[:-1], x[-1:]) for x in piece.split("\n")]
-        return out if all(w.isalpha() and (not s or s in self.signs) for w, s in out) else None
-
-    def _learn(self, pieces: set[str], heads: list[str]) -> None:
-        """Encode new pieces, which follow a space, from their words where they are made of words; the first words of texts
-        are learned as if they stood behind a line end."""
-        signs = self.signs
-        alone = set(filter(str.isalpha, pieces))
-        mixed = pieces - alone
-        signed = [p for p in mixed if p[-1:] in signs and p[:-1].isalpha()]
-        split = [(p, x) for p in mixed if "\n" in p and (x := self._parts(p))]
-        first = [x for x in map(self._parts, heads) if x]
-        self._words(alone.union((p[:-1] for p in signed), (x[0][0] for _, x in split)), " ", self.known)
-        self._words({w for _, x in split for w, _ in x[1:]}.union(w for x in first for w, _ in x), "\n", self.lines)
-        known, lines = self.known, self.lines
-        known.update([(p, known[p[:-1]] + signs[p[-1]]) for p in signed])
-        for p, ((word, sign), *more) in split:
-            known[p] = b"".join((known[word], signs[sign], *(x for w, s in more for x in (lines[w], signs[s]))))
-        other = [p for p in mixed if p not in known]
-        self.known.update(zip(other, self._encode([" " + p for p in other])))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+                each = self._alone(some)
+                coded += each
+                sizes.append([len(x) for x in each])
+        return self._add(words, coded, np.concatenate((np.zeros(0, np.int64), *sizes)))
+
+    def _learn(self, pieces: pa.Array) -> np.ndarray:
+        """Numbers of new pieces, encoded now; those that end in a sign are made of their word and the sign."""
+        long = pc.binary_length(pieces).to_numpy() > LONGEST
+        signed, odd = (pc.match_substring_regex(pieces, x).to_numpy(zero_copy_only=False) for x in (_SIGNED, _ODD))
+        signed, odd = signed & ~long, odd | long
+        plain = ~(signed | odd)
+        words, ended, others = (_strings(pieces.filter(pa.array(x))) for x in (plain, signed, odd))
+        numbers, stems = np.empty(len(pieces), np.int64), [p[:-1] for p in ended]
+        numbers[plain] = self._words(words + list(set(stems).difference(self.known, words)))[: len(words)]
+        numbers[odd] = self._add(others, self._alone(others))
+        both = np.empty(2 * len(ended), np.int64)
+        both[::2] = [self.known[w] for w in stems]
+        both[1::2] = [SIGNS.index(p[-1]) for p in ended]
+        ids, sizes = self._take(both)
+        numbers[signed] = self._add(ended, [ids], sizes[::2] + sizes[1::2])
+        return numbers
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         """Little-endian 32-bit ids per text."""
-        split, heads = [], []
-        for t in texts:
-            whole = _INSIDE.search(t) or any(s in t for s in self.special)
-            head, *pieces = [t] if whole else t.split(" ")
-            heads.append(None if whole else head)
-            split.append(pieces)
-        pieces = set(chain.from_iterable(split))
-        if len(self.known) > MEMORY:  # what is in use now is kept, as it is likely common
-            self.known = {p: self.known[p] for p in pieces if p in self.known}
-            self.lines = {}
-        self._learn(pieces.difference(self.known), [h for h in heads if h is not None])
-        known, lines, signs = self.known, self.lines, self.signs
-        line = len(self._line)
-        begun = [None if h is None else self._parts(h) for h in heads]
-        rest = iter(self._encode([t if h is None else h for t, h, x in zip(texts, heads, begun) if not x]))
-        out = []
-        for pieces, parts in zip(split, begun):
-            head = b"".join([y for w, s in parts for y in (lines[w], signs[s])])[line:] if parts else next(rest)
-            out.append(head + b"".join(map(known.__getitem__, pieces)))
-        return out
+        texts = (texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())).cast(pa.large_string())
+        whole = pc.match_substring_regex(texts, _INSIDE)
+        for sign in (_LINE, *self.special):
+            whole = pc.or_(whole, pc.match_substring(texts, sign))
+        lines = pc.replace_substring_regex(texts.filter(pc.invert(whole)), _CUT, rf"\1 {_LINE}\2")
+        begin, nothing = pa.scalar(_LINE, texts.type), pa.scalar("", texts.type)
+        pieces = pc.split_pattern(pc.binary_join_element_wise(begin, lines, nothing), " ")
+        coded = pieces.flatten().dictionary_encode()
+        names, lengths = _strings(coded.dictionary), pc.binary_length(coded.dictionary).to_numpy()
+        numbers = np.fromiter(map(self.known.get, names, repeat(-1)), np.int64, len(names))
+        if len(self.known) > MEMORY or self.known_bytes > MEMORY_BYTES:  # what is in use now is kept, as it is likely common
+            used = np.flatnonzero(numbers >= 0)
+            ids, sizes = self._take(np.concatenate((np.arange(len(SIGNS)), numbers[used])))
+            self.known, self.ids, self.bounds = {}, ids, np.concatenate(([0], np.cumsum(sizes)))
+            numbers[used] = np.arange(len(SIGNS), len(sizes))
+            self.known.update((names[i], n) for i, n in zip(used.tolist(), numbers[used].tolist()))
+            self.known_bytes = lengths[used].sum()
+        new = np.flatnonzero(numbers < 0)
+        numbers[new] = self._learn(coded.dictionary.take(pa.array(new)))
+        self.known_bytes += lengths[new].sum()
+        bounds = pieces.offsets.to_numpy()
+        skipped = np.zeros(len(coded), np.int64)
+        skipped[bounds[:-1]] = len(self._line)  # no line end stands before a text
+        ids, sizes = self._take(numbers[coded.indices.to_numpy()], skipped)
+        data, ends = ids.tobytes(), (4 * np.concatenate(([0], np.cumsum(sizes)))[bounds]).tolist()
+        cut_up = (data[s:e] for s, e in zip(ends, ends[1:]))
+        in_one = iter(self._encode(texts.filter(whole).to_pylist()))
+        return [next(in_one).tobytes() if x else next(cut_up) for x in whole.to_pylist()]
 
 
 def encoder_of(path: str) -> Encoder:
@@ -190,6 +235,13 @@ _SEGMENT = (
 _LEVELS = pa.list_(pa.struct([("chunks", pa.binary()), ("more", pa.binary()), ("ranks", pa.binary())]))
 
 
+def _by_bytes(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of ids and texts with about `BYTES_AT_ONCE` of texts each."""
+    reached = np.cumsum(pc.binary_length(batch.column(1)).to_numpy().astype(np.int64)) // BYTES_AT_ONCE
+    cuts = [0, *(np.flatnonzero(np.diff(reached)) + 1).tolist(), batch.num_rows]
+    return (batch.slice(s, e - s) for s, e in zip(cuts, cuts[1:]) if e > s)
+
+
 def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", segment_tokens: int = SEGMENT_TOKENS) -> DataFrame:
     """Encode every text (null: empty), append `end_id`, and store the ids in ascending id order; returns the stored rows.
 
@@ -208,9 +260,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = END_ID, id_col:
             types = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), _LEVELS)
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row.values(), types)], names=list(row))
 
-        parts = (batch.slice(i, AT_ONCE) for batch in batches for i in range(0, batch.num_rows, AT_ONCE))
-        for batch in parts:
-            for doc, coded in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist())):
+        for batch in chain.from_iterable(map(_by_bytes, batches)):
+            for doc, coded in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1))):
                 n = len(coded) // 4 + 1
                 if size and size + n > segment_tokens:
                     yield flush()

@@ -199,6 +199,45 @@ def test_encoder_equals_library():
         assert np.frombuffer(coded, "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+class CountedLookups(dict):
+    n = 0
+
+    def get(self, *args):
+        self.n += 1
+        return super().get(*args)
+
+    def __getitem__(self, key):
+        self.n += 1
+        return super().__getitem__(key)
+
+
+def test_encoder_looks_up_a_piece_once_for_all_its_places():
+    encoder, text = dac.Encoder(tokenizer_path()), "The cat sat, and\nthe dog sat. " * 2000
+    encoder.known = known = CountedLookups()
+    expected = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode([text, text])] == [expected, expected]
+    assert known.n < 100
+
+
+def test_encoder_forgets_long_pieces(monkeypatch):
+    monkeypatch.setattr(dac, "MEMORY_BYTES", 20_000)
+    encoder, rng = dac.Encoder(tokenizer_path()), random.Random(6)
+    for _ in range(60):
+        text = " ".join("".join(rng.choices("абвгд中文,.", k=500)) for _ in range(3))
+        (coded,) = encoder.encode([text])
+        assert np.frombuffer(coded, "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+        assert sum(len(p.encode()) for p in encoder.known) < 25_000
+
+
+def test_encoder_starts_its_memory_afresh(monkeypatch):
+    monkeypatch.setattr(dac, "MEMORY", 20)
+    encoder, rng = dac.Encoder(tokenizer_path()), random.Random(7)
+    for _ in range(200):
+        texts = [" ".join(rng.choice(["a", "bé.", "the,", "x\ny", "12", "dog\nCat!", ""]) + rng.choice(["", "s"]) for _ in range(9)) for _ in range(3)]
+        for text, coded in zip(texts, encoder.encode(texts)):
+            assert np.frombuffer(coded, "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_tokens_of_documents(spark, docs, rows, nothing):
     stored = dac.write_tokens(docs, tokenizer_path(), segment_tokens=500)
     got = sorted(map(tuple, dac.read_documents(stored).collect()), key=lambda r: r[1])
